@@ -1,0 +1,6 @@
+"""Nothing is defined here.
+
+The analyses this library covers are batch analyses. The row-wise operators
+(recoding, filtering, label making, hash sampling, scoring) are plain projections
+and filters, so they apply to a streaming DataFrame as they are.
+"""

@@ -8,6 +8,15 @@ from pyspark.sql import functions as F
 from tallyframe.functions.missing import present
 
 
+def varies(cell: Column) -> Column:
+    """TRUE when the cell takes more than one value.
+
+    A deviation of zero does not tell: merged over several tasks, the deviation of
+    a constant column can come out as a rounding error above zero.
+    """
+    return F.min(cell) < F.max(cell)
+
+
 def pairwise_corr(a: Column, b: Column) -> Column:
     """Pearson correlation over the rows where both cells are present.
 
@@ -17,4 +26,5 @@ def pairwise_corr(a: Column, b: Column) -> Column:
     x, y = a.cast("double"), b.cast("double")
     both = present(x) & present(y)
     x, y = F.when(both, x), F.when(both, y)
-    return F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    corr = F.try_divide(F.covar_samp(x, y), F.stddev_samp(x) * F.stddev_samp(y))
+    return F.when(varies(x) & varies(y), corr)

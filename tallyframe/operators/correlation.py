@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import named, numeric_columns
-from tallyframe.functions.statistics import pairwise_corr
+from tallyframe.functions.statistics import pairwise_corr, varies
 from tallyframe.operators.profiling import drop_null_rows, per_column
 from tallyframe.sources.tables import preview
 
@@ -71,7 +71,10 @@ def corr_matrix(
 
 def _matrix_by_aggregate(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     place = {name: at for at, name in enumerate(columns)}
-    spread = [F.stddev_samp(named(name)).alias(f"s{at}") for name, at in place.items()]
+    spread = [
+        F.when(varies(named(name)), F.stddev_samp(named(name))).alias(f"s{at}")
+        for name, at in place.items()
+    ]
     shared = [
         F.covar_samp(named(a), named(b)).alias(f"v{place[a]}_{place[b]}")
         for a, b in combinations(columns, 2)
@@ -100,10 +103,9 @@ def _matrix_by_mllib(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     vectors = VectorAssembler(inputCols=list(columns), outputCol="cells").transform(rows)
     # MLlib returns the matrix itself: columns x columns, whatever the row count.
     matrix = Correlation.corr(vectors.select("cells"), "cells").first()[0].toArray()
-    # NaN marks a constant column; MLlib still puts 1 on its diagonal.
-    flat = [all(v != v for k, v in enumerate(line) if k != i) for i, line in enumerate(matrix)]
+    flags = rows.agg(*[varies(named(name)) for name in columns]).first()
     pairs = [
-        (a, b, None if (flat[i] or flat[j]) and len(columns) > 1 else float(matrix[i, j]))
+        (a, b, float(matrix[i, j]) if flags[i] and flags[j] else None)
         for i, a in enumerate(columns)
         for j, b in enumerate(columns)
     ]

@@ -98,6 +98,9 @@ TUNING_GRIDS: dict[str, dict[str, list[Any]]] = {
     },
 }
 
+# What a classifier is given besides its grid while it is tuned.
+TUNING_BASE: dict[str, dict[str, Any]] = {"random_forest": {"numTrees": 30}}
+
 # The figure each classifier was tuned by.
 TUNING_METRICS = {
     "logistic": "areaUnderROC",
@@ -110,12 +113,21 @@ TUNING_METRICS = {
 LINEAR = ("logistic", "linear_svc")
 
 
-def classifier(kind: str, features: str = "features", label: str = "label", **params) -> Estimator:
-    """An unfitted classifier with the chosen settings, any of which may be replaced."""
-    settings = {**FINAL_PARAMS[kind], **params}
+def classifier(
+    kind: str,
+    features: str = "features",
+    label: str = "label",
+    settings: Mapping[str, Any] | None = None,
+    **params,
+) -> Estimator:
+    """An unfitted classifier with the chosen settings, any of which may be replaced.
+
+    ``settings={}`` starts from MLlib's defaults instead.
+    """
+    chosen = {**(FINAL_PARAMS[kind] if settings is None else settings), **params}
     if kind not in LINEAR:
-        settings.setdefault("seed", 42)
-    return CLASSIFIERS[kind](featuresCol=features, labelCol=label, **settings)
+        chosen.setdefault("seed", 42)
+    return CLASSIFIERS[kind](featuresCol=features, labelCol=label, **chosen)
 
 
 def fit_classifier(
@@ -182,7 +194,8 @@ def tune(
 ) -> tuple[CrossValidatorModel, DataFrame]:
     """Cross-validate a grid; returns the fitted search and its result table.
 
-    Without ``grid`` the full one of the classifier is taken. ``fold`` names a column
+    Without ``grid`` the full one of the classifier is taken; settings that it does
+    not list stay at MLlib's defaults. ``fold`` names a column
     of fold numbers, which makes the folds independent of the partitioning. The
     rows are kept in memory and on disk while the search runs, so that the features
     are computed once and not for every fit.
@@ -190,7 +203,7 @@ def tune(
     use_checkpoint_dir(train.sparkSession)
     grid = TUNING_GRIDS[kind] if grid is None else grid
     metric = metric or TUNING_METRICS[kind]
-    estimator = classifier(kind, features, label)
+    estimator = classifier(kind, features, label, TUNING_BASE.get(kind, {}))
     builder = ParamGridBuilder()
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))

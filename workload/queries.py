@@ -969,20 +969,25 @@ def fitted_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return modelling.comparison()
 
 
-def searched(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A grid of four points over ten folds of the training rows."""
+def searched(spark: SparkSession, sf_dir: str, kind: str, grid: dict) -> DataFrame:
+    """A small grid over ten folds of the training rows."""
     rows = tf.fold_column(tf.split_column(prepared(spark, sf_dir), "id"), "id", 10)
     train = rows.where(F.col("part") == "train")
-    ready = tf.fit_features(tf.linear_features(NUMERIC, CODED), train)[1]
-    grid = {"elasticNetParam": [0.0, 1.0], "regParam": [0.0001, 0.1]}
-    return tf.tune("logistic", ready, grid, fold="fold", folds=10)[1]
+    if kind == "logistic":
+        pipeline, vector = tf.linear_features(NUMERIC, CODED), "features"
+    else:
+        pipeline, vector = tf.tree_features(FEATURES), "indexedFeatures"
+    ready = tf.fit_features(pipeline, train)[1]
+    return tf.tune(kind, ready, grid, vector, fold="fold", folds=10)[1]
 
 
 @register("cv_grid")
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return searched(spark, sf_dir)
+    grid = {"maxBins": [8, 32], "minInstancesPerNode": [10, 100]}
+    return searched(spark, sf_dir, "decision_tree", grid)
 
 
 @register("cv_best")
 def cv_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tf.best_point(searched(spark, sf_dir))
+    grid = {"elasticNetParam": [0.0, 1.0], "maxIter": [30], "fitIntercept": [False]}
+    return tf.best_point(searched(spark, sf_dir, "logistic", grid))

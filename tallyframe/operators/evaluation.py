@@ -181,12 +181,17 @@ def threshold_curves(
     by: Sequence[str] = (),
     beta: float = 1.0,
     buckets: int | None = None,
+    points: int | None = None,
 ) -> DataFrame:
     """Every figure at every threshold: ``fpr, tpr, precision, recall, f_measure``.
 
-    ``first`` marks the highest threshold of the group.
+    ``first`` marks the highest threshold of the group. ``points`` thins the curve
+    for drawing: of the exact points, the first and those are kept that complete
+    another ``1 / points`` of the group's rows.
     """
     counts = threshold_counts(df, score, label, by, buckets)
+    if points is not None:
+        counts = counts.where(_completes_step(points))
     tp, fp = F.col("tp").cast("double"), F.col("fp").cast("double")
     precision = tp / (tp + fp)
     recall = F.try_divide(tp, F.col("positives"))
@@ -208,15 +213,23 @@ def threshold_curves(
     )
 
 
+def _completes_step(points: int) -> Column:
+    rows = F.col("positives") + F.col("negatives")
+    upto, own = F.col("tp") + F.col("fp"), F.col("hits") + F.col("alarms")
+    step = F.floor(upto * F.lit(points) / rows)
+    return (upto == own) | (F.floor((upto - own) * F.lit(points) / rows) < step)
+
+
 def roc_curve(
     df: DataFrame,
     score: str = "score",
     label: str = "label",
     by: Sequence[str] = (),
     buckets: int | None = None,
+    points: int | None = None,
 ) -> DataFrame:
     """Exact ROC points ``threshold, fpr, tpr``; (0, 0) has a NULL threshold."""
-    curve = threshold_curves(df, score, label, by, buckets=buckets)
+    curve = threshold_curves(df, score, label, by, buckets=buckets, points=points)
     return _with_start(curve, by, {"fpr": F.lit(0.0), "tpr": F.lit(0.0)})
 
 
@@ -226,9 +239,10 @@ def pr_curve(
     label: str = "label",
     by: Sequence[str] = (),
     buckets: int | None = None,
+    points: int | None = None,
 ) -> DataFrame:
     """Exact precision and recall points; recall 0 repeats the first precision."""
-    curve = threshold_curves(df, score, label, by, buckets=buckets)
+    curve = threshold_curves(df, score, label, by, buckets=buckets, points=points)
     return _with_start(curve, by, {"recall": F.lit(0.0), "precision": F.col("precision")})
 
 

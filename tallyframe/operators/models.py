@@ -190,7 +190,7 @@ def tune(
     fold: str | None = None,
     folds: int = 10,
     metric: str | None = None,
-    parallelism: int = 4,
+    parallelism: int = 8,
 ) -> tuple[CrossValidatorModel, DataFrame]:
     """Cross-validate a grid; returns the fitted search and its result table.
 

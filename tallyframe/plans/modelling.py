@@ -45,12 +45,18 @@ def run_models(
     label: str = "label",
     seed: int = 42,
     fit_scope: str = "train",
+    spread: bool = False,
 ) -> Modelling:
     """Fit the models on the same training rows and score all rows.
 
     ``fit_scope='all'`` fits encoder and indexer on all rows, test rows included,
     with the highest code of each column left out; ``'train'`` keeps the test rows
     out of every fit. Scaling is fitted on the training rows in both cases.
+
+    ``spread`` gives the tree fits, which compute much per row, at least as many tasks
+    as the session has cores. It costs one shuffle where the table has fewer
+    partitions, and none otherwise. To see how many it has, a table that was
+    shuffled before has to be computed, so leave it off for such a table.
     """
     if fit_scope not in ("train", "all"):
         raise ValueError("fit_scope must be 'train' or 'all'")
@@ -69,6 +75,8 @@ def run_models(
         vector = "features" if family == "linear" else "indexedFeatures"
         ready = features[family].transform(rows)
         train = ready.where(F.col("part") == "train")
+        if spread and family == "tree":
+            train = spread_rows(train, key)
         models[kind] = fit_classifier(kind, train, vector, label, **settings.get(kind, {}))
         scored.append(
             predict(models[kind], ready).select(
@@ -78,6 +86,12 @@ def run_models(
     return Modelling(features, models, reduce(DataFrame.unionAll, scored))
 
 
+def spread_rows(df: DataFrame, key: str) -> DataFrame:
+    """Hash rows by key to one partition per core if there are fewer now."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, named(key))
+
+
 def _fit_family(
     family: str,
     rows: DataFrame,

@@ -20,9 +20,14 @@ from tallyframe.operators.profiling import drop_null_rows, prune_columns
 
 @dataclass(frozen=True)
 class FeatureSelection:
-    """The cleaned table, its correlations with the target, and the chosen columns."""
+    """The chosen columns with the target, and what led to them.
+
+    ``complete`` is the cleaned table before the choice, ``correlations`` those of its
+    columns with the target.
+    """
 
     table: DataFrame
+    complete: DataFrame
     correlations: DataFrame
     features: list[str]
 
@@ -55,5 +60,5 @@ def select_features(
             strengths, corr_matrix(table, features), redundancy, prefer
         )
     return FeatureSelection(
-        table.select(*map(named, [*features, target])), correlations, features
+        table.select(*map(named, [*features, target])), table, correlations, features
     )

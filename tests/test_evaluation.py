@@ -153,3 +153,13 @@ def test_bucketed_curve_is_the_plain_window(spark):
 def test_compare_orders_by_metric(spark, predictions):
     table = tf.compare_models(predictions, ["model"], metric="recall_1").collect()
     assert [r.model for r in sorted(table, key=lambda r: -r.recall_1)] == [r.model for r in table]
+
+
+def test_thinned_curve_is_part_of_the_exact_one(spark, predictions):
+    exact = {(r.model, r.threshold, r.fpr, r.tpr) for r in tf.roc_curve(predictions, by=["model"]).collect()}
+    thin = [(r.model, r.threshold, r.fpr, r.tpr) for r in tf.roc_curve(predictions, by=["model"], points=20).collect()]
+    assert set(thin) <= exact and len(thin) == len(set(thin)) < len(exact)
+    for model in ("m", "n"):
+        mine = [p for p in thin if p[0] == model]
+        assert 10 < len(mine) <= 22
+        assert (model, None, 0.0, 0.0) in mine and any(p[2:] == (1.0, 1.0) for p in mine)

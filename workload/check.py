@@ -22,6 +22,8 @@ def local_session(cores: int = 8) -> SparkSession:
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.session.timeZone", "UTC")
+        # One aggregate over many columns has more fields than the default of 100.
+        .config("spark.sql.codegen.maxFields", "2000")
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", os.environ.get("SPARK_DRIVER_MEMORY", "8g"))
         .getOrCreate()

@@ -570,10 +570,8 @@ def prune_redundant(spark: SparkSession, sf_dir: str) -> DataFrame:
     ("survey",),
 )
 def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = labelled(spark, sf_dir)
-    found = tf.select_features(rows, "label", 0.4, exclude=["id"])
-    ids = tf.drop_null_rows(tf.prune_columns(rows, 0.4))
-    return ids.select("id", *found.features, "label")
+    found = tf.select_features(labelled(spark, sf_dir), "label", 0.4, exclude=["id"])
+    return found.complete.select("id", *found.features, "label")
 
 
 # Sampling and splitting
@@ -939,7 +937,7 @@ def fitted(kind: str, **params) -> Runner:
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         modelling = tf.run_models(
-            prepared(spark, sf_dir), "id", NUMERIC, CODED, [kind], {kind: params}
+            prepared(spark, sf_dir), "id", NUMERIC, CODED, [kind], {kind: params}, spread=True
         )
         return modelling.predictions.drop("model")
 

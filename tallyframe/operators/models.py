@@ -181,6 +181,24 @@ def evaluator(metric: str, label: str = "label") -> Evaluator:
     return MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
 
 
+# Settings that cannot move the area under a curve: a cut-off on the finished score,
+# and how partial sums are merged.
+NO_EFFECT_ON_AREA = ("threshold", "aggregationDepth")
+
+
+def distinct_points(points: Sequence[dict], metric: str) -> list[int]:
+    """For each grid point, the place of the first one with the same metric."""
+    idle = NO_EFFECT_ON_AREA if metric in ("areaUnderROC", "areaUnderPR") else ()
+    first: dict[tuple, int] = {}
+    places = []
+    for at, point in enumerate(points):
+        key = tuple(
+            sorted((param.name, repr(v)) for param, v in point.items() if param.name not in idle)
+        )
+        places.append(first.setdefault(key, at))
+    return places
+
+
 def tune(
     kind: str,
     train: DataFrame,
@@ -195,10 +213,12 @@ def tune(
     """Cross-validate a grid; returns the fitted search and its result table.
 
     Without ``grid`` the full one of the classifier is taken; settings that it does
-    not list stay at MLlib's defaults. ``fold`` names a column
-    of fold numbers, which makes the folds independent of the partitioning. The
-    rows are kept in memory and on disk while the search runs, so that the features
-    are computed once and not for every fit.
+    not list stay at MLlib's defaults. The table is ``grid_id, params, metric,
+    avg_metric, std_metric``. ``fold`` names a column of fold numbers, which makes the
+    folds independent of the partitioning. Points that differ only in settings
+    without effect on the metric share their fits; the fitted search holds the first
+    of them. The rows are kept in memory and on disk while the search runs, so that
+    the features are computed once and not for every fit.
     """
     use_checkpoint_dir(train.sparkSession)
     grid = TUNING_GRIDS[kind] if grid is None else grid
@@ -208,9 +228,11 @@ def tune(
     for name, values in grid.items():
         builder = builder.addGrid(estimator.getParam(name), list(values))
     points = builder.build()
+    places = distinct_points(points, metric)
+    fitted_at = sorted(set(places))
     search = CrossValidator(
         estimator=estimator,
-        estimatorParamMaps=points,
+        estimatorParamMaps=[points[at] for at in fitted_at],
         evaluator=evaluator(metric, label),
         numFolds=folds,
         parallelism=parallelism,
@@ -223,28 +245,22 @@ def tune(
         fitted = search.fit(rows)
     finally:
         rows.unpersist()
-    return fitted, search_results(fitted, points, metric, train)
-
-
-def search_results(
-    fitted: CrossValidatorModel, points: Sequence[dict], metric: str, df: DataFrame
-) -> DataFrame:
-    """One row per grid point: ``grid_id, params, metric, avg_metric, std_metric``."""
-    rows = [
+    results = [
         (
             at,
             {param.name: json.dumps(value) for param, value in point.items()},
             metric,
-            float(fitted.avgMetrics[at]),
-            float(fitted.stdMetrics[at]),
+            float(fitted.avgMetrics[fitted_at.index(places[at])]),
+            float(fitted.stdMetrics[fitted_at.index(places[at])]),
         )
         for at, point in enumerate(points)
     ]
-    return df.sparkSession.createDataFrame(
-        rows,
+    table = train.sparkSession.createDataFrame(
+        results,
         "grid_id int, params map<string,string>, metric string, "
         "avg_metric double, std_metric double",
     )
+    return fitted, table
 
 
 def best_point(results: DataFrame) -> DataFrame:

@@ -11,7 +11,17 @@ from pyspark.sql import types as T
 
 def named(name: str) -> Column:
     """The column called ``name``, whatever characters the name holds."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(sql_name(name))
+
+
+def sql_name(name: str) -> str:
+    """The column name as SQL text."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def sql_text(text: str) -> str:
+    """The string as a SQL literal."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def numeric_columns(df: DataFrame, exclude: Iterable[str] = ()) -> list[str]:

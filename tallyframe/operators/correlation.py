@@ -10,8 +10,8 @@ from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.columns import named, numeric_columns
-from tallyframe.functions.statistics import pairwise_corr, varies
+from tallyframe.functions.columns import named, numeric_columns, sql_name, sql_text
+from tallyframe.functions.statistics import pairwise_corr_sql, varies_sql
 from tallyframe.operators.profiling import drop_null_rows, per_column
 from tallyframe.sources.tables import preview
 
@@ -21,19 +21,23 @@ PAIRWISE_LIMIT = 16
 
 
 def target_corr(
-    df: DataFrame, target: str, columns: Sequence[str] | None = None
+    df: DataFrame,
+    target: str,
+    columns: Sequence[str] | None = None,
+    complete: bool = False,
 ) -> DataFrame:
     """Correlation of every column with the target, in one pass.
 
     ``feature, corr, abs_corr``; the target itself is left out, and ``corr`` is NULL
-    for a constant column.
+    for a constant column. Each correlation is over the rows where both cells are
+    present; ``complete`` says that all are, which makes the pass cheaper.
     """
-    columns = [
-        name for name in (columns or numeric_columns(df)) if name != target
-    ]
-    goal = named(target)
+    columns = [name for name in (columns or numeric_columns(df)) if name != target]
     pairs = per_column(
-        df, columns, lambda name: {"corr": pairwise_corr(named(name), goal)}, size=50
+        df,
+        columns,
+        lambda name: {"corr": pairwise_corr_sql(name, target, complete)},
+        size=50,
     )
     return pairs.withColumn("abs_corr", F.abs("corr"))
 
@@ -70,40 +74,34 @@ def corr_matrix(
 
 
 def _matrix_by_aggregate(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    place = {name: at for at, name in enumerate(columns)}
-    spread = [
-        F.when(varies(named(name)), F.stddev_samp(named(name))).alias(f"s{at}")
-        for name, at in place.items()
-    ]
-    shared = [
-        F.covar_samp(named(a), named(b)).alias(f"v{place[a]}_{place[b]}")
-        for a, b in combinations(columns, 2)
+    names = [sql_name(name) for name in columns]
+    aggregates = [
+        f"if({varies_sql(name)}, stddev_samp({name}), NULL) AS s{at}"
+        for at, name in enumerate(names)
     ]
+    for i, j in combinations(range(len(names)), 2):
+        aggregates.append(f"covar_samp({names[i]}, {names[j]}) AS v{i}_{j}")
     cells = []
-    for a in columns:
-        for b in columns:
-            i, j = sorted((place[a], place[b]))
-            both = F.col(f"s{i}") * F.col(f"s{j}")
+    for a, first in enumerate(columns):
+        for b, second in enumerate(columns):
+            i, j = sorted((a, b))
             value = (
-                F.when(both > 0, F.lit(1.0))
+                f"if(s{i} > 0, 1.0D, NULL)"
                 if i == j
-                else F.try_divide(F.col(f"v{i}_{j}"), both)
+                else f"try_divide(v{i}_{j}, s{i} * s{j})"
             )
             cells.append(
-                F.struct(
-                    F.lit(a).alias("feature_i"),
-                    F.lit(b).alias("feature_j"),
-                    value.alias("corr"),
-                )
+                f"struct({sql_text(first)} AS feature_i, {sql_text(second)} AS feature_j, "
+                f"{value} AS corr)"
             )
-    return rows.agg(*spread, *shared).select(F.inline(F.array(*cells)))
+    return rows.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(cells)}))")
 
 
 def _matrix_by_mllib(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     vectors = VectorAssembler(inputCols=list(columns), outputCol="cells").transform(rows)
     # MLlib returns the matrix itself: columns x columns, whatever the row count.
     matrix = Correlation.corr(vectors.select("cells"), "cells").first()[0].toArray()
-    flags = rows.agg(*[varies(named(name)) for name in columns]).first()
+    flags = rows.selectExpr(*[varies_sql(sql_name(name)) for name in columns]).first()
     pairs = [
         (a, b, float(matrix[i, j]) if flags[i] and flags[j] else None)
         for i, a in enumerate(columns)

@@ -9,8 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyframe.functions.columns import chunks, named, numeric_columns
-from tallyframe.functions.missing import MISSING_CODES, MISSING_TEXTS, missing
+from tallyframe.functions.columns import chunks, named, numeric_columns, sql_name, sql_text
+from tallyframe.functions.missing import MISSING_CODES, MISSING_TEXTS, missing_sql
 from tallyframe.operators.ordering import exact_quantiles
 
 # Aggregates of this many columns go in one pass. A wider table takes several
@@ -24,29 +24,30 @@ SUMMARY_ROWS = ("count", "mean", "stddev", "min", "25%", "50%", "75%", "max")
 def per_column(
     df: DataFrame,
     columns: Sequence[str],
-    stats: Callable[[str], Mapping[str, Column]],
+    stats: Callable[[str], Mapping[str, str]],
     label: str = "feature",
-    shared: Mapping[str, Column] | None = None,
+    shared: Mapping[str, str] | None = None,
     size: int = COLUMNS_PER_PASS,
 ) -> DataFrame:
     """Aggregate many columns in one global pass and return one row per column.
 
-    ``stats(name)`` gives the aggregates of one column; ``shared`` aggregates are
-    computed once per pass and repeated on each row.
+    ``stats(name)`` gives the aggregates of one column as SQL texts; ``shared``
+    aggregates are computed once per pass and repeated on each row.
     """
     shared = dict(shared or {})
     passes = []
     for group in chunks(columns, size):
-        aggregates = [expr.alias(f"shared_{stat}") for stat, expr in shared.items()]
+        aggregates = [f"{text} AS shared_{stat}" for stat, text in shared.items()]
         rows = []
         for place, name in enumerate(group):
-            cells = [F.lit(name).alias(label)]
-            for stat, expr in stats(name).items():
-                aggregates.append(expr.alias(f"c{place}_{stat}"))
-                cells.append(F.col(f"c{place}_{stat}").alias(stat))
-            cells += [F.col(f"shared_{stat}").alias(stat) for stat in shared]
-            rows.append(F.struct(*cells))
-        passes.append(df.agg(*aggregates).select(F.inline(F.array(*rows))))
+            cells = [f"{sql_text(name)} AS {label}"]
+            for stat, text in stats(name).items():
+                aggregates.append(f"{text} AS c{place}_{stat}")
+                cells.append(f"c{place}_{stat} AS {stat}")
+            cells += [f"shared_{stat} AS {stat}" for stat in shared]
+            rows.append(f"struct({', '.join(cells)})")
+        totals = df.selectExpr(*aggregates)
+        passes.append(totals.selectExpr(f"inline(array({', '.join(rows)}))"))
     return reduce(DataFrame.unionAll, passes)
 
 
@@ -66,13 +67,11 @@ def missing_profile(
     fields = {field.name: field for field in df.schema.fields}
     own_codes = column_codes or {}
 
-    def stats(name: str) -> dict[str, Column]:
-        test = missing(fields[name], own_codes.get(name, codes), texts, text_match)
-        return {"n_missing": F.count_if(test)}
+    def stats(name: str) -> dict[str, str]:
+        test = missing_sql(fields[name], own_codes.get(name, codes), texts, text_match)
+        return {"n_missing": f"count_if({test})"}
 
-    counted = per_column(
-        df, columns or df.columns, stats, shared={"n_rows": F.count("*")}
-    )
+    counted = per_column(df, columns or df.columns, stats, shared={"n_rows": "count(*)"})
     return counted.select(
         "feature", "n_missing", (F.col("n_rows") - F.col("n_missing")).alias("n_present")
     )
@@ -140,14 +139,14 @@ def summary_stats(
     """
     columns = list(columns or numeric_columns(df))
 
-    def stats(name: str) -> dict[str, Column]:
-        cell = named(name).cast("double")
+    def stats(name: str) -> dict[str, str]:
+        cell = f"CAST({sql_name(name)} AS DOUBLE)"
         return {
-            "n": F.count(cell),
-            "mean": F.avg(cell),
-            "sd": F.stddev_samp(cell),
-            "min": F.min(cell),
-            "max": F.max(cell),
+            "n": f"count({cell})",
+            "mean": f"avg({cell})",
+            "sd": f"stddev_samp({cell})",
+            "min": f"min({cell})",
+            "max": f"max({cell})",
         }
 
     moments = per_column(df, columns, stats)

@@ -49,7 +49,7 @@ def select_features(
     """
     table = drop_null_rows(prune_columns(df, min_present, always_keep=[target]))
     candidates = numeric_columns(table, exclude=[target, *exclude])
-    correlations = target_corr(table, target, candidates)
+    correlations = target_corr(table, target, candidates, complete=True)
     # One short row per selected column; their names decide the next schema.
     ranked = select_by_corr(correlations, threshold).orderBy(F.desc("abs_corr"), "feature")
     rows = ranked.collect()

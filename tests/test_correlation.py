@@ -29,6 +29,17 @@ def test_pairs_with_gaps(spark):
     assert tf.target_corr(df, "y").first().corr == pytest.approx(want)
 
 
+def test_complete_rows_give_the_same(spark):
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(300, 4)) * [1.0, 50.0, 0.01, 3.0] + [0.0, 1e6, 5.0, 0.0]
+    df = spark.createDataFrame([(*map(float, line), 0.1) for line in data], ["y", "a", "b", "c", "k"]).repartition(6)
+    want = {name: np.corrcoef(data[:, 0], data[:, at])[0, 1] for at, name in enumerate("abc", 1)}
+    for complete in (False, True):
+        found = {r.feature: r.corr for r in tf.target_corr(df, "y", complete=complete).collect()}
+        assert found.pop("k") is None
+        assert found == {name: pytest.approx(value) for name, value in want.items()}
+
+
 def test_top_breaks_ties_by_name(spark):
     df = spark.createDataFrame([(1.0, 2.0, 2.0, 1.0), (2.0, 4.0, 4.0, 5.0), (3.0, 6.0, 6.0, 1.0)], "y double, c double, b double, z double")
     assert [r.feature for r in tf.top_corr(tf.target_corr(df, "y"), 2).collect()] == ["b", "c"]

@@ -24,6 +24,11 @@ def test_missing_text(spark):
         flags(df, text_match="regex")
 
 
+def test_missing_texts_are_taken_literally(spark):
+    df = spark.createDataFrame([("it's",), ("back\\slash",), ("its",)], "s string")
+    assert sorted(flags(df.coalesce(1), texts=("it's", "k\\s"))) == [False, True, True]
+
+
 def test_missing_by_type(spark):
     df = spark.sql(
         "SELECT * FROM VALUES (1, 99.0D, true, DATE'2020-01-01', 99.00BD), "
@@ -61,7 +66,7 @@ def test_prune_takes_odd_names(spark):
 def test_wide_table_goes_in_several_passes(spark):
     names = [f"c{i}" for i in range(230)]
     df = spark.range(20).select(*[(F.col("id") % (i + 1)).alias(n) for i, n in enumerate(names)])
-    found = per_column(df, names, lambda n: {"top": F.max(n)}, shared={"n": F.count("*")})
+    found = per_column(df, names, lambda n: {"top": f"max({n})"}, shared={"n": "count(*)"})
     rows = {row.feature: (row.top, row.n) for row in found.collect()}
     assert len(rows) == 230
     assert rows["c4"] == (4, 20) and rows["c229"] == (19, 20)

@@ -7,7 +7,6 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from tallyframe.functions.columns import chunks, named, numeric_columns, sql_name, sql_text
 from tallyframe.functions.missing import MISSING_CODES, MISSING_TEXTS, missing_sql

@@ -40,6 +40,8 @@ def stratified_sample(
     """
     if check_strata:
         _warn_of_unlisted(df, label, fractions)
+    if not fractions:
+        raise ValueError("give the sampling fraction of at least one class")
     listed = iter(fractions.items())
     code, fraction = next(listed)
     limit = F.when(named(label) == F.lit(code), F.lit(float(fraction)))

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import os
 import re
+import tempfile
 import uuid
+import zipfile
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -35,6 +39,33 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the Python workers, once per application.
+
+    Not needed where ``PYTHONPATH``, which executors inherit or are set up with, names it.
+    """
+    root = Path(__file__).resolve().parents[2]
+    named = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    context = spark.sparkContext
+    if str(root) in named or context.applicationId in _shipped:
+        return
+    archive = os.path.join(tempfile.mkdtemp(prefix="tallyframe-"), "tallyframe_package.zip")
+    with zipfile.ZipFile(archive, "w", zipfile.ZIP_DEFLATED) as file:
+        for source in sorted((root / "tallyframe").rglob("*.py")):
+            file.write(source, source.relative_to(root))
+    context.addPyFile(archive)
+    _shipped.add(context.applicationId)
+
+
+def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataFrame:
+    """``mapInArrow`` with this package at hand in the workers."""
+    ship(df.sparkSession)
+    return df.mapInArrow(run, schema)
+
+
 def map_batches(
     df: DataFrame, schema: str | T.StructType, each: Callable[[dict[str, list]], dict[str, list]]
 ) -> DataFrame:
@@ -55,7 +86,7 @@ def map_batches(
                 [pa.array(made[field.name], type=field.type) for field in target], schema=target
             )
 
-    return df.mapInArrow(run, schema)
+    return map_arrow(df, run, schema)
 
 
 def rows_in(df: DataFrame) -> int:

@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import map_batches, rows_in, stage
+from tallyframe.llm.common import map_batches, rows_in, ship, stage
 
 BLOCK = "block int, ids binary, quantised binary, scales binary, errors binary, norms binary, vectors binary"
 
@@ -82,6 +82,7 @@ def blocks_of(rows: DataFrame, size: int, total: int) -> DataFrame:
             columns=[part.split()[0] for part in BLOCK.split(", ")],
         )
 
+    ship(rows.sparkSession)
     dealt = rows.withColumn("block", F.pmod(F.xxhash64("id", "vector"), F.lit(count)).cast("int"))
     return dealt.groupBy("block").applyInPandas(pack, BLOCK)
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import host_rules, neighbours, packing, secrets
+from tallyframe.llm import host_rules, jaccard_join, neighbours, packing, secrets
 from tallyframe.llm.common import read_table
 from tallyframe.llm.vocabulary import Vocabulary
 from tallyframe.sources import scratch_path
@@ -76,6 +76,10 @@ def op8_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
+
+
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
@@ -84,5 +88,6 @@ QUERIES = {
     "op2_host_rules": (op2_host_rules, OP2_SQL),
     "op6_secret_ledger": (op6_secret_ledger, None),
     "op8_block_neighbours": (op8_block_neighbours, None),
+    "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
 }

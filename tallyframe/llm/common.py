@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import os
 import re
 import tempfile
@@ -31,11 +32,14 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again.
 
     This cuts the lineage: what follows reads files that survive the loss of any
-    executor. The folder is that of ``spark.checkpoint.dir``.
+    executor. The folder is that of ``spark.checkpoint.dir``. Shuffle files of steps that are
+    over go once the driver has let go of their frames, which is hurried along here.
     """
     spark = df.sparkSession
     path = f"{use_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

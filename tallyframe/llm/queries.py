@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import host_rules, jaccard_join, neighbours, packing, secrets
+from tallyframe.llm import host_rules, jaccard_join, neighbours, packing, secrets, substring_dedup
 from tallyframe.llm.common import read_table
 from tallyframe.llm.vocabulary import Vocabulary
 from tallyframe.sources import scratch_path
@@ -18,6 +18,11 @@ def vocabulary(name: str) -> Vocabulary:
     return Vocabulary.read(public_tokenizers.path(name), public_tokenizers.PATTERN)
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    left = substring_dedup.dedup(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return left.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op2_host_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.apply_host_rules(read_table(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
@@ -85,6 +90,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_host_rules": (op2_host_rules, OP2_SQL),
     "op6_secret_ledger": (op6_secret_ledger, None),
     "op8_block_neighbours": (op8_block_neighbours, None),

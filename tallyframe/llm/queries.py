@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import host_rules, jaccard_join, neighbours, packing, secrets, substring_dedup
+from tallyframe.llm import byte_bpe, host_rules, jaccard_join, neighbours, packing, secrets, substring_dedup
 from tallyframe.llm.common import read_table
 from tallyframe.llm.vocabulary import Vocabulary
 from tallyframe.sources import scratch_path
@@ -66,6 +66,16 @@ FROM g JOIN r ON g.host IS NOT DISTINCT FROM r.host
 """
 
 
+def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    return byte_bpe.decode(byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks), ranks).select(
+        "doc_id",
+        F.expr("octet_length(ids) div 4").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("body", 256).alias("decoded_sha256"),
+    )
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_versions(read_table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
     count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -92,6 +102,7 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_host_rules": (op2_host_rules, OP2_SQL),
+    "op4_byte_bpe": (op4_byte_bpe, None),
     "op6_secret_ledger": (op6_secret_ledger, None),
     "op8_block_neighbours": (op8_block_neighbours, None),
     "op9_jaccard_join": (op9_jaccard_join, None),

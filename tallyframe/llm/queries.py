@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import byte_bpe, host_rules, jaccard_join, neighbours, packing, secrets, substring_dedup
+from tallyframe.llm import byte_bpe, host_rules, jaccard_join, neighbours, packing, quality, secrets, substring_dedup, toxicity
 from tallyframe.llm.common import read_table
 from tallyframe.llm.vocabulary import Vocabulary
 from tallyframe.sources import scratch_path
@@ -66,6 +66,10 @@ FROM g JOIN r ON g.host IS NOT DISTINCT FROM r.host
 """
 
 
+def op3_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify_quality(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
     return byte_bpe.decode(byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks), ranks).select(
@@ -86,6 +90,10 @@ def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxic_terms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify_toxicity(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+
+
 def op8_block_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read_table(spark, sf_dir, "embeddings")
     return neighbours.nearest(vectors, vectors.filter(F.col("vec_id") % 20 == 0), k=20)
@@ -102,8 +110,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_host_rules": (op2_host_rules, OP2_SQL),
+    "op3_line_field": (op3_line_field, None),
     "op4_byte_bpe": (op4_byte_bpe, None),
     "op6_secret_ledger": (op6_secret_ledger, None),
+    "op7_toxic_terms": (op7_toxic_terms, None),
     "op8_block_neighbours": (op8_block_neighbours, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import byte_bpe, host_rules, jaccard_join, neighbours, packing, quality, secrets, substring_dedup, toxicity
+from tallyframe.llm import byte_bpe, host_rules, jaccard_join, licenses, neighbours, packing, quality, secrets, substring_dedup, toxicity
 from tallyframe.llm.common import read_table
 from tallyframe.llm.vocabulary import Vocabulary
 from tallyframe.sources import scratch_path
@@ -80,6 +80,36 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_license_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
+def license_sql() -> str:
+    """Every run of every text against every template, by their shingles."""
+    templates = licenses.templates_of(licenses.TEMPLATES)
+    shingles = ", ".join(f"('{t.name}', {len(t.words)}, {len(t.shingles)}, {t.needed}, '{s}')" for t in templates for s in t.shingles)
+    return f"""
+WITH t(license, size, total, needed, shingle) AS (VALUES {shingles}),
+w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, '{licenses.UPPER}', '{licenses.LOWER}'), '[a-z0-9]+') AS words
+  FROM documents WHERE text IS NOT NULL
+),
+p AS (SELECT doc_id, words, len(words) AS n, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS pos FROM w WHERE len(words) > 0),
+s AS (SELECT doc_id, n, pos, array_to_string(words[pos : pos + 4], ' ') AS shingle FROM p),
+h AS (
+  SELECT s.doc_id, t.license, t.total, t.needed, shingle,
+    unnest(range(greatest(1, pos - greatest(size - 5, 0)), least(pos, greatest(1, n - size + 1)) + 1)) AS start
+  FROM s JOIN t USING (shingle)
+),
+r AS (
+  SELECT doc_id, license, start, count(DISTINCT shingle) AS shared, max(total) AS total, max(needed) AS needed
+  FROM h GROUP BY doc_id, license, start
+)
+SELECT doc_id, license, count(*) AS windows, (min(start) - 1)::BIGINT AS first_word, round(max(shared / total), 6) AS containment
+FROM r WHERE shared >= needed GROUP BY doc_id, license
+"""
+
+
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan_versions(read_table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
     count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
@@ -112,6 +142,7 @@ QUERIES = {
     "op2_host_rules": (op2_host_rules, OP2_SQL),
     "op3_line_field": (op3_line_field, None),
     "op4_byte_bpe": (op4_byte_bpe, None),
+    "op5_license_windows": (op5_license_windows, license_sql()),
     "op6_secret_ledger": (op6_secret_ledger, None),
     "op7_toxic_terms": (op7_toxic_terms, None),
     "op8_block_neighbours": (op8_block_neighbours, None),

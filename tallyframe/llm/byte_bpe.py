@@ -131,7 +131,7 @@ def count_words(texts: DataFrame, pattern: str) -> DataFrame:
                 words[word] += many
         return {"word": list(words), "many": list(words.values())}
 
-    return map_batches(texts.select("text"), "word string, many long", each).groupBy("word").agg(F.sum("many").alias("many"))
+    return map_batches(texts.select("text"), "word string, many long", each, rows=10_000).groupBy("word").agg(F.sum("many").alias("many"))
 
 
 def frequent_words(spark: SparkSession, counts: DataFrame, most: int = TABLE_WORDS) -> DataFrame:

@@ -71,11 +71,12 @@ def map_arrow(df: DataFrame, run: Callable, schema: str | T.StructType) -> DataF
 
 
 def map_batches(
-    df: DataFrame, schema: str | T.StructType, each: Callable[[dict[str, list]], dict[str, list]]
+    df: DataFrame, schema: str | T.StructType, each: Callable[[dict[str, list]], dict[str, list]], rows: int = 2048
 ) -> DataFrame:
     """``mapInArrow`` for a function from column lists to column lists.
 
-    One Arrow batch is in memory at a time, so the need does not grow with a partition.
+    At most ``rows`` rows of an Arrow batch are worked on at a time, so the need does not
+    grow with a partition.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
@@ -83,12 +84,12 @@ def map_batches(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            made = each({name: batch.column(at).to_pylist() for at, name in enumerate(batch.schema.names)})
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(made[field.name], type=field.type) for field in target], schema=target
-            )
+            for first in range(0, batch.num_rows, rows):
+                part = batch.slice(first, rows)
+                made = each({name: part.column(at).to_pylist() for at, name in enumerate(part.schema.names)})
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made[field.name], type=field.type) for field in target], schema=target
+                )
 
     return map_arrow(df, run, schema)
 

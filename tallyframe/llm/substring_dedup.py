@@ -241,7 +241,7 @@ def repeated_windows(documents: DataFrame, size: int = WINDOW) -> DataFrame:
         }
 
     names = map_batches(
-        again, "name long, address binary, start int, told boolean, runs array<int>", hashed
+        again, "name long, address binary, start int, told boolean, runs array<int>", hashed, rows=10_000
     )
     # Settled rows have no name; the hash of their text deals them out.
     group = Window.partitionBy(F.coalesce("name", F.xxhash64("address")))

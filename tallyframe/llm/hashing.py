@@ -16,7 +16,20 @@ STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
-_names: dict[bytes, int] = {}
+
+class _Names(dict):
+    """Words to names; a new word is named as it is asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        name = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= MEMO_BYTES:
+            if len(self) >= MEMO_WORDS:
+                self.clear()
+            self[word] = name
+        return name
+
+
+_names = _Names()
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -28,22 +41,7 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 def word_names(words: list[bytes]) -> np.ndarray:
     """The names of words."""
-    names = list(map(_names.get, words))
-    if None in names:
-        digest = xxhash.xxh3_64_intdigest
-        for at, name in enumerate(names):
-            if name is None:
-                word = words[at]
-                # The word may have been named a moment ago in this very list.
-                name = _names.get(word)
-                if name is None:
-                    name = digest(word)
-                    if len(word) <= MEMO_BYTES:
-                        if len(_names) >= MEMO_WORDS:
-                            _names.clear()
-                        _names[word] = name
-                names[at] = name
-    return np.array(names, dtype=np.uint64)
+    return np.fromiter(map(_names.__getitem__, words), np.uint64, len(words))
 
 
 def window_names(names: np.ndarray, size: int) -> np.ndarray:

@@ -5,33 +5,17 @@ Two different windows share a name with a probability of 2^-64.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
-import xxhash
 
-#: Words kept by a worker process with their names; the memo starts anew beyond this.
-MEMO_WORDS = 500_000
-MEMO_BYTES = 40
 #: Odd multipliers of a 64-bit mixing function.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
+BASE = np.uint64(0xD6E8FEB86659FD93)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
-class _Names(dict):
-    """Words to names; a new word is named as it is asked for."""
-
-    def __missing__(self, word: bytes) -> int:
-        name = xxhash.xxh3_64_intdigest(word)
-        if len(word) <= MEMO_BYTES:
-            if len(self) >= MEMO_WORDS:
-                self.clear()
-            self[word] = name
-        return name
-
-
-_names = _Names()
-
-
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values; different values stay different."""
     values = (values ^ (values >> np.uint64(30))) * MIX_1
@@ -39,31 +23,91 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
-def word_names(words: list[bytes]) -> np.ndarray:
-    """The names of words."""
-    return np.fromiter(map(_names.__getitem__, words), np.uint64, len(words))
+def _byte_values() -> tuple[np.ndarray, np.ndarray]:
+    """A value for each byte, and the same with A-Z as a-z."""
+    values = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
+    lower = np.arange(256)
+    lower[65:91] += 32
+    return values, values[lower]
+
+
+def word_names(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """The names of all words of the texts, one after the other, and the number of words per text.
+
+    Words are separated by ASCII white space. A word's name is the mixed sum of its bytes'
+    values, each times a power of ``BASE`` by its place. With ``lower``, A-Z count as a-z.
+    """
+    joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
+    space = (joined == 32) | ((joined >= 9) & (joined <= 13))
+    edges = np.flatnonzero(np.diff(space.view(np.int8), prepend=np.int8(1)))
+    starts, lengths = edges[::2], edges[1::2] - edges[::2]
+    borders = np.cumsum([len(text) + 1 for text in texts])
+    counts = np.diff(np.searchsorted(starts, borders), prepend=0)
+    if not len(starts):
+        return np.zeros(0, np.uint64), counts
+    firsts = np.cumsum(lengths) - lengths
+    place = np.arange(lengths.sum()) - np.repeat(firsts, lengths)
+    up, _ = _powers(int(lengths.max()))
+    values = _VALUES[1 if lower else 0][joined[~space]]
+    values *= up[place]
+    return mix(np.add.reduceat(values, firsts) + lengths.astype(np.uint64) * STEP), counts
+
+
+#: Texts are worked on together until they have so many bytes.
+TOGETHER = 1_000_000
+
+
+def gathered(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
+    """The texts as UTF-8 in groups of about ``TOGETHER`` bytes, with the number of the first; null is empty."""
+    first, group, size = 0, [], 0
+    for at, text in enumerate(texts):
+        group.append(b"" if text is None else text.encode("utf-8"))
+        size += len(group[-1])
+        if size >= TOGETHER:
+            yield first, group
+            first, group, size = at + 1, [], 0
+    if group:
+        yield first, group
 
 
 def window_names(names: np.ndarray, size: int) -> np.ndarray:
-    """The names of all windows of ``size`` consecutive words; none if there are fewer words."""
+    """The names of all windows of ``size`` consecutive words; none if there are fewer words.
+
+    A window's name is the mixed sum of its words' names, each times a power of ``BASE`` by
+    its place. Sums of long windows are differences of running sums.
+    """
     many = len(names) - size + 1
     if many <= 0:
         return np.zeros(0, np.uint64)
-    # Doubling: the name of 2k words comes from two names of k words.
-    done, span, out, covered = names, 1, None, 0
-    left = size
-    while left:
-        if left & 1:
-            piece = done[covered : covered + many]
-            out = mix(piece + STEP) if out is None else mix(out * STEP + piece)
-            covered += span
-        left >>= 1
-        if left:
-            done = mix(done[: len(done) - span] * STEP + done[span:])
-            span *= 2
-    return out
+    if size <= 8:
+        total = names[size - 1 : size - 1 + many].copy()
+        for at in range(size - 2, -1, -1):
+            total *= BASE
+            total += names[at : at + many]
+        return mix(total)
+    up, down = _powers(len(names))
+    running = np.zeros(len(names) + 1, np.uint64)
+    np.cumsum(names * up[: len(names)], out=running[1:])
+    return mix((running[size:] - running[:many]) * down[:many])
+
+
+_tables: list[np.ndarray] = []
+
+
+def _powers(many: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least so many powers of ``BASE``, and of its inverse modulo 2^64."""
+    if not _tables or len(_tables[0]) < many:
+        size = max(1 << 16, 2 * many)
+        _tables[:] = [
+            np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, base, np.uint64))))
+            for base in (int(BASE), pow(int(BASE), -1, 1 << 64))
+        ]
+    return _tables[0], _tables[1]
 
 
 def signed(values: np.ndarray) -> np.ndarray:
     """64-bit values as the engine's longs."""
     return values.view(np.int64)
+
+
+_VALUES = _byte_values()

@@ -18,12 +18,14 @@ Work is on distinct texts. A text that occurs more than once repeats as a whole.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import map_batches, stage
-from tallyframe.llm.hashing import STEP, mix, signed, window_names, word_names
+from tallyframe.llm.common import map_batches, stage, without
+from tallyframe.llm.hashing import STEP, gathered, mix, signed, window_names, word_names
 
 WINDOW = 35
 ROUNDS = 3
@@ -31,27 +33,29 @@ ROUNDS = 3
 LENGTH_BITS = 6
 
 
-def name_runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Names after runs have become one, and for each old position its new one."""
-    fresh = np.concatenate(([True], names[1:] != names[:-1]))
+def name_runs(names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Names after runs have become one, where each begins, and for each old position its new one."""
+    fresh = np.empty(len(names), bool)
+    fresh[0] = True
+    np.not_equal(names[1:], names[:-1], out=fresh[1:])
     starts = np.flatnonzero(fresh)
-    lengths = np.diff(np.append(starts, len(names)))
-    made = names[starts].copy()
-    long = lengths > 1
+    made = names[starts]
+    lengths = np.diff(starts, append=len(names))
+    long = np.flatnonzero(lengths > 1)
     made[long] = mix(made[long] * STEP + mix(lengths[long].astype(np.uint64)))
-    return made, np.cumsum(fresh) - 1
+    return made, starts, np.cumsum(fresh, dtype=np.int32) - np.int32(1)
 
 
-def name_pairs(names: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Names after left-right pairs have become one, new positions, and which old names are left ones."""
-    left = (mix(names + np.uint64(turn + 1) * STEP) & np.uint64(1)).astype(bool)
-    first = np.concatenate((left[:-1] & ~left[1:], [False]))
-    second = np.concatenate(([False], first[:-1]))
-    starts = np.flatnonzero(~second)
-    made = names[starts].copy()
-    joined = first[starts]
+def name_pairs(names: np.ndarray, turn: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """As ``name_runs`` for left-right pairs, and which old names are left ones."""
+    left = (((names ^ (names >> np.uint64(29))) * (np.uint64(2 * turn + 1) * STEP)) >> np.uint64(63)).astype(bool)
+    single = np.ones(len(names), bool)
+    np.logical_not(left[:-1] & ~left[1:], out=single[1:])
+    starts = np.flatnonzero(single)
+    made = names[starts]
+    joined = np.flatnonzero(np.diff(starts, append=len(names)) > 1)
     made[joined] = mix(mix(made[joined] + STEP) * STEP + names[starts[joined] + 1])
-    return made, np.cumsum(~second) - 1, left
+    return made, starts, np.cumsum(single, dtype=np.int32) - np.int32(1), left
 
 
 def picks(names: np.ndarray, size: int = WINDOW, rounds: int = ROUNDS) -> np.ndarray:
@@ -63,59 +67,67 @@ def picks(names: np.ndarray, size: int = WINDOW, rounds: int = ROUNDS) -> np.nda
     be the left part, are given up as well.
     """
     many = len(names) - size + 1
-    low, high = np.arange(many), np.arange(size - 1, size - 1 + many)
-    ends = np.arange(len(names) + 1)
+    low = np.arange(many, dtype=np.int32)
+    high = low + np.int32(size - 1)
+    gone = np.zeros(many, bool)
+    begins, end = np.arange(len(names)), len(names)
+
+    def close() -> None:
+        """Give up interiors without a name; their bounds go where they do no harm."""
+        np.logical_or(gone, low > high, out=gone)
+        np.putmask(low, gone, 0)
+        np.putmask(high, gone, 0)
+
     with np.errstate(over="ignore"):
         for turn in range(rounds):
-            names, at = name_runs(names)
-            ends = np.append(ends[np.searchsorted(at, np.arange(len(names)))], ends[-1])
-            # An interior that is gone (low > high) stays gone: both bounds only close in.
-            low, high = _moved(at, low, len(names)) + 1, _moved(at, high, len(names)) - 1
-            made, at, left = name_pairs(names, turn)
-            ends = np.append(ends[np.searchsorted(at, np.arange(len(made)))], ends[-1])
-            low_at, high_at = np.clip(low, 0, len(names) - 1), np.clip(high, 0, len(names) - 1)
-            gone = low > high
-            low = low + ~left[low_at]
-            high = high - left[high_at]
-            gone |= low > high
-            low, high = _moved(at, low, len(made)), _moved(at, high, len(made))
-            low[gone], high[gone] = 1, 0
-            names = made
-        lengths = np.minimum(np.diff(ends), (1 << LENGTH_BITS) - 1).astype(np.uint64)
+            names, starts, at = name_runs(names)
+            begins = begins[starts]
+            low, high = at[low] + np.int32(1), at[high] - np.int32(1)
+            close()
+            made, starts, at, left = name_pairs(names, turn)
+            begins = begins[starts]
+            low += ~left[low]
+            high -= left[high]
+            close()
+            low, high, names = at[low], at[high], made
+        lengths = np.minimum(np.diff(begins, append=end), (1 << LENGTH_BITS) - 1).astype(np.uint64)
         ranked = (lengths << np.uint64(64 - LENGTH_BITS)) | (names >> np.uint64(LENGTH_BITS))
+    high[gone] = -1
     return _range_max(ranked, low, high)
 
 
-def _moved(at: np.ndarray, where: np.ndarray, many: int) -> np.ndarray:
-    """Positions under a renaming; those off the ends stay off."""
-    inside = at[np.clip(where, 0, len(at) - 1)]
-    return np.where(where < 0, -1, np.where(where >= len(at), many, inside))
-
-
 def _range_max(values: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
     """The largest value from ``low`` to ``high``; 0 where the range is empty."""
     spans = high - low + 1
     out = np.zeros(len(low), np.uint64)
-    power, table = 0, values
-    while True:
-        now = (spans >= 1 << power) & (spans < 2 << power)
-        if now.any():
-            out[now] = np.maximum(table[low[now]], table[high[now] - (1 << power) + 1])
-        if not (spans >= 2 << power).any():
-            return out
-        table = np.maximum(table[: len(table) - (1 << power)], table[1 << power :])
+    widest, power, table = int(spans.max(initial=0)), 0, values
+    while 1 << power <= widest:
+        now = np.flatnonzero((spans >= 1 << power) & (spans < 2 << power))
+        out[now] = np.maximum(table[low[now]], table[high[now] - ((1 << power) - 1)])
+        if 2 << power <= widest:
+            table = np.maximum(table[: len(table) - (1 << power)], table[1 << power :])
         power += 1
+    return out
 
 
-def windows_of(text: str | None, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Picks and hashes of all windows of a text; nothing if it has too few words."""
-    words = [] if text is None else text.encode("utf-8").split()
-    if len(words) < size:
-        return np.zeros(0, np.uint64), np.zeros(0, np.uint64)
-    names = word_names(words)
-    hashed = window_names(names, size)
-    found = picks(names, size)
-    return np.where(found == 0, hashed, found), hashed
+def windows_of(texts: list[str | None], size: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+    """Of every window: the number of its text, its start there, its pick and its hash.
+
+    Texts are strung together: what a window picks does not depend on what stands around it,
+    and windows that reach into the next text are left out.
+    """
+    for number, group in gathered(texts):
+        names, lengths = word_names(group)
+        if len(names) < size:
+            continue
+        found, hashed = picks(names, size), window_names(names, size)
+        found = np.where(found == 0, hashed, found)
+        owner = np.repeat(np.arange(len(group)), lengths)[: len(found)]
+        ends = np.cumsum(lengths)
+        inside = np.flatnonzero(ends[owner] - np.arange(len(found)) >= size)
+        if len(inside):
+            owner = owner[inside]
+            yield owner + number, inside - (ends - lengths)[owner], found[inside], hashed[inside]
 
 
 def kept_words(text: str | None, repeats: np.ndarray, size: int) -> tuple[list[bytes], int]:
@@ -131,126 +143,113 @@ def kept_words(text: str | None, repeats: np.ndarray, size: int) -> tuple[list[b
     return [words[at] for at in np.flatnonzero(~covered)], len(words)
 
 
-def runs_of(starts: np.ndarray) -> list[int]:
-    """Ascending numbers as first and last of each run of consecutive ones."""
-    breaks = np.flatnonzero(np.diff(starts) > 1)
-    firsts, lasts = np.append(0, breaks + 1), np.append(breaks, len(starts) - 1)
-    return np.stack((starts[firsts], starts[lasts]), axis=1).ravel().tolist()
-
-
 def starts_of(runs: list[int]) -> np.ndarray:
-    """The numbers that runs stand for."""
+    """The starts that runs (first times 2^32 plus last) stand for."""
     if not runs:
         return np.zeros(0, np.int64)
-    return np.unique(np.concatenate([np.arange(first, last + 1) for first, last in zip(runs[::2], runs[1::2])]))
+    packed = np.array(runs, np.int64)
+    firsts, lasts = packed >> 32, packed & 0xFFFFFFFF
+    return np.unique(np.concatenate([np.arange(first, last + 1) for first, last in zip(firsts.tolist(), lasts.tolist())]))
 
 
 def addressed(documents: DataFrame) -> DataFrame:
-    """``doc_id, address`` (128-bit hash of the text) and ``text``."""
-    return documents.select("doc_id", F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary"))).alias("address"), "text")
+    """``doc_id, address`` (128-bit hash of the text), ``key`` (64 bits of it) and ``text``."""
+    address = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    return documents.select("doc_id", address.alias("address"), F.xxhash64(address).alias("key"), "text")
 
 
 def repeated_windows(documents: DataFrame, size: int = WINDOW) -> DataFrame:
-    """``address, runs, copies`` of every text with repeated windows.
+    """``address, copies, runs`` of every text with repeated windows.
 
-    ``runs`` lists first and last starts of windows whose words also start elsewhere; for a
-    text that occurs several times (``copies``), every window of it counts, and ``runs`` is
-    what other texts share.
+    ``runs`` are first and last starts (packed in a long) of windows whose words also start in
+    another text, or twice in this one; a text with ``copies`` above 1 repeats as a whole.
+    Steps are written to the shared folder one by one, so that the shuffle files of one can
+    go before the next makes its own.
     """
     rows = addressed(documents)
     # One document stands for its text. Sums per text are begun in each task.
     texts = stage(
-        rows.groupBy("address").agg(F.min(F.struct("doc_id")).alias("one"), F.count(F.lit(1)).alias("copies"))
-        .select("address", "one.doc_id", "copies"),
+        rows.groupBy("address").agg(
+            F.min("key").alias("key"), F.min(F.struct("doc_id")).alias("one"), F.count(F.lit(1)).alias("copies")
+        ).select("address", "key", "one.doc_id", "copies"),
         "texts",
     )
 
+    def fresh(got: dict[str, list]) -> tuple[list[int], list[str | None]]:
+        """Keys and texts, each text once."""
+        once = dict(zip(got["key"], got["text"]))
+        return list(once), list(once.values())
+
     def picked(got: dict[str, list]) -> dict[str, list]:
-        made: dict[str, list] = {"address": [], "pick": [], "inside": []}
-        seen: set[bytes] = set()
-        for address, text in zip(got["address"], got["text"]):
-            if address in seen:
-                continue
-            seen.add(address)
-            found, own = windows_of(text, size)
-            if not len(found):
-                continue
-            values = np.unique(found)
-            # A pick of windows that are equal within the text is shared already.
-            ordered = np.sort(own)
-            inside = np.isin(own, ordered[1:][ordered[1:] == ordered[:-1]])
-            made["address"] += [address] * len(values)
-            made["pick"] += signed(values).tolist()
-            made["inside"] += np.isin(values, found[inside]).tolist()
+        keys, bodies = fresh(got)
+        made: dict[str, list] = {"key": [], "pick": [], "inside": []}
+        for owner, _, found, hashed in windows_of(bodies, size):
+            # Stretches of windows with one pick give it once.
+            change = np.flatnonzero(
+                np.concatenate(([True], (found[1:] != found[:-1]) | (owner[1:] != owner[:-1])))
+            )
+            # Picks of windows that are equal to another one here are shared already.
+            ordered = np.sort(hashed)
+            twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+            shared = np.unique(found[np.isin(hashed, twice)])
+            made["key"] += [keys[at] for at in owner[change].tolist()]
+            made["pick"] += signed(found[change]).tolist()
+            made["inside"] += np.isin(found[change], shared).tolist()
         return made
 
-    found = stage(
-        map_batches(rows.select("address", "text"), "address binary, pick long, inside boolean", picked), "picks"
-    )
-    # Copies of a text give the same rows; its address tells them apart from other texts.
+    found = stage(map_batches(rows.select("key", "text"), "key long, pick long, inside boolean", picked), "picks")
+    # Copies of a text give the same rows; its key tells them apart from other texts.
     shared = (
         found.groupBy("pick")
-        .agg(
-            F.min(F.xxhash64("address")).alias("first"),
-            F.max(F.xxhash64("address")).alias("last"),
-            F.max("inside").alias("inside"),
-        )
+        .agg(F.min("key").alias("first"), F.max("key").alias("last"), F.max("inside").alias("inside"))
         .filter((F.col("first") != F.col("last")) | F.col("inside"))
         .select("pick")
     )
-    wanted = found.join(shared, "pick").groupBy("address").agg(F.collect_set("pick").alias("wanted"))
-    todo = texts.join(wanted, "address").select("address", "doc_id", "wanted")
+    wanted = found.select("key", "pick").join(shared, "pick").groupBy("key").agg(F.collect_set("pick").alias("wanted"))
+    todo = stage(texts.join(wanted, "key").select("key", "doc_id", "wanted"), "todo")
     again = rows.alias("r").join(
         todo.hint("shuffle_hash").alias("t"),
-        (F.col("r.address") == F.col("t.address")) & F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")),
-    ).select("r.address", "r.text", "t.wanted")
+        (F.col("r.key") == F.col("t.key")) & F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")),
+    ).select("r.key", "r.text", "t.wanted")
 
     def hashed(got: dict[str, list]) -> dict[str, list]:
-        places: list[tuple[bytes, np.ndarray, np.ndarray]] = []
-        seen: set[bytes] = set()
-        for address, text, wanted_ in zip(got["address"], got["text"], got["wanted"]):
-            if address in seen:
-                continue
-            seen.add(address)
-            chosen, names = windows_of(text, size)
-            starts = np.flatnonzero(np.isin(chosen, np.array(wanted_, np.int64).view(np.uint64)))
-            places.append((address, starts, names[starts]))
-        # Repeats within this batch are settled here; each name leaves it once.
-        every = np.concatenate([names for _, _, names in places])
-        values, first, many = np.unique(every, return_index=True, return_counts=True)
-        count = many[np.searchsorted(values, every)]
-        lead = np.zeros(len(every), bool)
-        lead[first] = True
-        owners = [address for address, starts, _ in places for _ in range(len(starts))]
-        leads = np.flatnonzero(lead)
-        settled: list[tuple[bytes, list[int]]] = []
-        at = 0
-        for address, starts, names in places:
-            sure = starts[count[at : at + len(names)] > 1]
-            at += len(names)
-            if len(sure):
-                settled.append((address, runs_of(sure)))
-        every_start = np.concatenate([starts for _, starts, _ in places])
-        none = [None] * len(settled)
-        return {
-            "name": signed(every[leads]).tolist() + none,
-            "address": [owners[place] for place in leads.tolist()] + [address for address, _ in settled],
-            "start": every_start[leads].tolist() + none,
-            "told": (count[leads] > 1).tolist() + none,
-            "runs": [None] * len(leads) + [runs for _, runs in settled],
-        }
-
-    names = map_batches(
-        again, "name long, address binary, start int, told boolean, runs array<int>", hashed, rows=10_000
-    )
-    # Settled rows have no name; the hash of their text deals them out.
-    group = Window.partitionBy(F.coalesce("name", F.xxhash64("address")))
-    counted = names.withColumn("many", F.count("name").over(group)).withColumn("told", F.max("told").over(group))
-    repeats = counted.filter(F.col("name").isNull() | (F.col("many") > 1) | F.col("told"))
-    runs = repeats.groupBy("address").agg(
-        F.flatten(F.collect_list(F.coalesce("runs", F.array("start", "start")))).alias("runs")
+        keys, bodies = fresh(got)
+        sought = dict(zip(got["key"], got["wanted"]))
+        made: dict[str, list] = {"name": [], "key": [], "place": []}
+        for owner, start, chosen, names in windows_of(bodies, size):
+            wish = np.unique(np.concatenate([np.array(sought[keys[at]], np.int64) for at in np.unique(owner).tolist()]))
+            here = np.flatnonzero(np.isin(chosen, wish.view(np.uint64)))
+            owner, start, names = owner[here], start[here], names[here]
+            # Repeats among these texts are settled here; each name leaves once.
+            values, first, inverse, many = np.unique(names, return_index=True, return_inverse=True, return_counts=True)
+            sure = many[inverse] > 1
+            made["name"] += signed(values).tolist()
+            made["key"] += [keys[at] for at in owner[first].tolist()]
+            made["place"] += (2 * start[first] + (many > 1)).tolist()
+            owner, start = owner[sure], start[sure]
+            breaks = np.flatnonzero((owner[1:] != owner[:-1]) | (start[1:] != start[:-1] + 1))
+            firsts, lasts = np.append(0, breaks + 1), np.append(breaks, len(owner) - 1)
+            if len(owner):
+                made["name"] += [None] * len(firsts)
+                made["key"] += [keys[at] for at in owner[firsts].tolist()]
+                made["place"] += ((start[firsts] << 32) | start[lasts]).tolist()
+        return made
+
+    # Rows with a name: place is twice the start, plus 1 if the name is repeated where it comes
+    # from. Rows without: place is a run of starts that are settled.
+    names = stage(map_batches(again, "name long, key long, place long", hashed, rows=10_000), "names")
+    group = Window.partitionBy(F.coalesce("name", F.xxhash64("key", "place")))
+    told = F.max(F.col("name").isNotNull() & (F.col("place") % 2 == 1)).over(group)
+    counted = names.withColumn("many", F.count("name").over(group)).withColumn("told", told)
+    start = F.shiftright("place", 1)
+    runs = (
+        counted.filter(F.col("name").isNull() | (F.col("many") > 1) | F.col("told"))
+        .select("key", F.when(F.col("name").isNull(), F.col("place")).otherwise(F.shiftleft(start, 32) + start).alias("run"))
+        .repartition("key")
+        .groupBy("key")
+        .agg(F.collect_list("run").alias("runs"))
     )
-    return texts.join(runs, "address", "left").filter((F.col("copies") > 1) | F.col("runs").isNotNull()).select(
+    return texts.join(runs, "key", "left").filter((F.col("copies") > 1) | F.col("runs").isNotNull()).select(
         "address", "copies", "runs"
     )
 
@@ -261,11 +260,10 @@ def dedup(documents: DataFrame, size: int = WINDOW) -> DataFrame:
     Removes every word covered by a window of ``size`` words that also starts anywhere else,
     in the same text too. All other columns are kept as they are. Null and empty texts have
     no words and an empty ``kept``. Texts shorter than a window lose nothing. Repeated rows
-    are copies of one another. An empty table gives an empty result.
+    are copies of one another. An empty table gives an empty result. Input columns named as
+    one of the new ones are replaced.
     """
-    clash = {"n_words", "n_removed", "kept", "__id", "__address", "__own", "__runs", "__copies"} & {name.lower() for name in documents.columns}
-    if clash:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
+    documents = without(documents, "n_words", "n_removed", "kept")
     repeats = stage(repeated_windows(documents, size), "repeats").select(
         F.col("address").alias("__address"), F.col("copies").alias("__copies"), F.col("runs").alias("__runs")
     )

@@ -94,6 +94,11 @@ def map_batches(
     return map_arrow(df, run, schema)
 
 
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without its columns of these names, in whatever case."""
+    return df.select(*[f"`{name}`" for name in df.columns if name.lower() not in names])
+
+
 def rows_in(df: DataFrame) -> int:
     """A count of rows."""
     return df.agg(F.count(F.lit(1)).alias("n")).first()["n"]

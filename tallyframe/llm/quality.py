@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import SPACES, held_out, map_batches
+from tallyframe.llm.common import SPACES, held_out, map_batches, without
 from tallyframe.llm.labelled import training_sample
 
 #: At most about so many labelled documents are fitted to.
@@ -166,13 +166,12 @@ def score_quality(documents: DataFrame, field: Field, least: float = 0.3) -> Dat
     """``documents`` with ``score`` (0 to 1), ``predicted`` and ``n_bad_lines``.
 
     Reads ``text`` alone. Null and empty texts are one empty line and are scored like any
-    other. All other columns are kept, repeated rows too. An empty table gives an empty result.
+    other. All other columns are kept, repeated rows too, but for those named as one of the
+    new ones. An empty table gives an empty result.
     """
     from pyspark.sql import types as T
 
-    clash = {"score", "predicted", "n_bad_lines"} & {name.lower() for name in documents.columns}
-    if clash:
-        raise ValueError(f"the input already has columns {sorted(clash)}")
+    documents = without(documents, "score", "predicted", "n_bad_lines")
     names = documents.columns
 
     def each(got: dict[str, list]) -> dict[str, list]:

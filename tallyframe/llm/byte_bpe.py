@@ -17,6 +17,7 @@ import json
 import zlib
 from functools import lru_cache
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,7 +27,7 @@ from tallyframe.llm.vocabulary import Vocabulary, parts_of
 #: Maps that the ranks are dealt over; a lookup goes through one small map.
 SLOTS = 16_384
 #: Most words in the broadcast table, and the most bytes one of them may have.
-TABLE_WORDS = 1_000_000
+TABLE_WORDS = 400_000
 TABLE_BYTES = 48
 GAP = 0xFFFFFFFF
 
@@ -131,7 +132,7 @@ def count_words(texts: DataFrame, pattern: str) -> DataFrame:
                 words[word] += many
         return {"word": list(words), "many": list(words.values())}
 
-    return map_batches(texts.select("text"), "word string, many long", each, rows=10_000).groupBy("word").agg(F.sum("many").alias("many"))
+    return map_batches(texts.select("text"), "word string, many long", each, rows=4096).groupBy("word").agg(F.sum("many").alias("many"))
 
 
 def frequent_words(spark: SparkSession, counts: DataFrame, most: int = TABLE_WORDS) -> DataFrame:
@@ -172,18 +173,17 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, table_words: int = TABL
     pattern = vocabulary.pattern
     ranks = rank_literal(vocabulary)
     counts = stage(count_words(documents, pattern), "word-counts")
-    table = {
-        row["word"]: bytes(row["ids"])
-        for row in frequent_words(spark, counts, table_words)
-        .select("word", packed_ids(fold_merges(F.col("word"), ranks)).alias("ids"))
-        .toLocalIterator()
-    }
-    shared = spark.sparkContext.broadcast(table)
+    # Merged by all tasks and written before the driver reads it: a table of bounded size.
+    table = stage(
+        frequent_words(spark, counts, table_words).select("word", packed_ids(fold_merges(F.col("word"), ranks)).alias("ids")),
+        "merged-words",
+    )
+    shared = spark.sparkContext.broadcast(_as_bytes(table.toArrow()))
     gap = GAP.to_bytes(4, "little")
     kind = dict(documents.dtypes)["doc_id"]
 
     def with_gaps(got: dict[str, list]) -> dict[str, list]:
-        known, cut = shared.value.get, splitter(pattern)
+        known, cut = _as_table(shared.value).get, splitter(pattern)
         memo: dict[str, bytes] = {}
         ids, rare = [], []
         for text in got["text"]:
@@ -221,6 +221,21 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, table_words: int = TABL
     return map_batches(merged, f"doc_id {kind}, ids binary", filled)
 
 
+def _as_bytes(table: pa.Table) -> bytes:
+    """An Arrow table as one stretch of bytes, far smaller than a dictionary of objects."""
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema) as writer:
+        writer.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+@lru_cache(maxsize=1)
+def _as_table(data: bytes) -> dict[str, bytes]:
+    """Words to their ids; kept by a worker for its further tasks."""
+    read = pa.ipc.open_stream(data).read_all()
+    return dict(zip(read["word"].to_pylist(), read["ids"].to_pylist()))
+
+
 def _cut_at(ids: bytes, gap: bytes) -> list[bytes]:
     """The stretches between gaps; a gap stands at a multiple of four."""
     parts, start, at = [], 0, ids.find(gap)

@@ -2,9 +2,8 @@
 
 The lexicon is learned: words, or beginnings of words, that labelled toxic documents hold far
 more often than others. It is kept as a trie. A Levenshtein automaton for a term accepts what
-is at most one edit away from it; here its states (rows of edit distances) are moved down
-the trie, so a word is compared with all terms at once and a branch is left as
-soon as no state is alive. Each hit is weighed by the words around it: quotation marks and words of
+is at most one edit away from it; here the automata of all terms run down the trie together,
+so a word is compared with all terms at once and left as soon as no state is alive. Each hit is weighed by the words around it: quotation marks and words of
 reporting speak for quotation, words of address for abuse. A logistic fit on these counts
 gives the score.
 """
@@ -103,7 +102,7 @@ def chosen_terms(counts: dict[str, int]) -> list[Term]:
 
 
 class Trie:
-    """Terms by letters, searched with the states of Levenshtein automata."""
+    """Terms by letters."""
 
     def __init__(self, terms: list[Term]):
         self.root: dict = {}
@@ -124,27 +123,85 @@ class Trie:
                 found = node[""][0]
         return node[""][0] if "" in node else found
 
+
+class Automaton:
+    """The Levenshtein automata (one edit, or one swap of neighbours) of all terms at once.
+
+    They run down the trie together: a state is the set of places in the trie that a
+    beginning of a word can stand at, each with the edits it took. States and moves are
+    made as words ask for them and kept; their number is bounded by the lexicon, as
+    letters that no term has are one letter. Most words reach the dead state after a
+    few letters. Open terms are left out.
+    """
+
+    DEAD = 0
+
+    def __init__(self, terms: list[Term]):
+        self.closed = [(at, term) for at, term in enumerate(terms) if not term.open]
+        self.trie = Trie([term for _, term in self.closed])
+        self.alphabet = {letter for _, term in self.closed for letter in term.text}
+        # Places are numbered, so that sets of them can be told apart.
+        self.nodes: list[dict] = []
+        self.children: list[dict[str, int]] = []
+        self._number(self.trie.root)
+        self.known: dict[frozenset, int] = {frozenset(): self.DEAD}
+        self.accepts: list[int | None] = [None]
+        self.places: list[frozenset] = [frozenset()]
+        self.moves: dict[tuple[int, str], int] = {}
+        self.start = self._state({(0, 0, "")}) if self.closed else self.DEAD
+
+    def _number(self, node: dict) -> int:
+        at = len(self.nodes)
+        self.nodes.append(node)
+        self.children.append({})
+        for letter, child in node.items():
+            if letter:
+                self.children[at][letter] = self._number(child)
+        return at
+
+    def _state(self, places: set[tuple[int, int, str]]) -> int:
+        """The number of a set of places; a letter of a term may also be left out."""
+        places |= {(child, 1, "") for node, edits, waits in places if not edits and not waits for child in self.children[node].values()}
+        key = frozenset(places)
+        if key not in self.known:
+            self.known[key] = len(self.places)
+            self.places.append(key)
+            ends = [self.nodes[node][""][0] for node, edits, waits in key if edits and not waits and "" in self.nodes[node]]
+            self.accepts.append(min(ends) if ends else None)
+        return self.known[key]
+
+    def _move(self, state: int, letter: str) -> int:
+        places: set[tuple[int, int, str]] = set()
+        for node, edits, waits in self.places[state]:
+            below = self.children[node]
+            if waits:
+                # The second letter of a swap.
+                if letter == waits:
+                    places.add((node, 1, ""))
+                continue
+            if letter in below:
+                places.add((below[letter], edits, ""))
+            if not edits:
+                places.add((node, 1, ""))
+                for other, child in below.items():
+                    if other != letter:
+                        places.add((child, 1, ""))
+                        if letter in self.children[child]:
+                            places.add((self.children[child][letter], 1, other))
+        return self._state(places)
+
     def near(self, word: str) -> int | None:
-        """A term, not open, that is exactly one edit (or one swap of neighbours) away."""
-        first = tuple(range(len(word) + 1))
-        # Node, letter that led to it, its row, and the letter and row before that.
-        todo = [(self.root, "", first, "", None)]
-        while todo:
-            node, last, row, _, before = todo.pop()
-            for letter, child in node.items():
-                if letter == "":
-                    if not child[1] and row[-1] == 1 and len(word) >= SHORTEST:
-                        return child[0]
-                    continue
-                made = [row[0] + 1]
-                for at, own in enumerate(word, 1):
-                    cost = min(made[-1] + 1, row[at] + 1, row[at - 1] + (own != letter))
-                    if before is not None and at > 1 and own == last and word[at - 2] == letter:
-                        cost = min(cost, before[at - 2] + 1)
-                    made.append(cost)
-                if min(made) <= 1:
-                    todo.append((child, letter, tuple(made), last, row))
-        return None
+        """A term that is one edit away from a word that is no term itself."""
+        state, moves, alphabet = self.start, self.moves, self.alphabet
+        for letter in word:
+            key = (state, letter if letter in alphabet else "?")
+            state = moves.get(key, -1)
+            if state < 0:
+                state = moves[key] = self._move(*key)
+            if state == self.DEAD:
+                return None
+        found = self.accepts[state]
+        return None if found is None else self.closed[found][0]
 
 
 @dataclass(frozen=True)
@@ -157,7 +214,7 @@ class Matcher:
     """Hits of a text, with a memo of words of bounded size."""
 
     def __init__(self, terms: list[Term]):
-        self.trie = Trie(terms)
+        self.trie, self.automaton = Trie(terms), Automaton(terms)
         self.memo: dict[str, tuple[int, bool] | bool] = {}
 
     def look(self, word: str) -> tuple[int, bool] | bool:
@@ -165,7 +222,7 @@ class Matcher:
         if found is not None:
             hit: tuple[int, bool] | bool = (found, True)
         else:
-            found = self.trie.near(word) if SHORTEST <= len(word) <= LONGEST + 1 else None
+            found = self.automaton.near(word) if SHORTEST <= len(word) <= LONGEST + 1 else None
             hit = False if found is None else (found, False)
         if len(word) <= 2 * LONGEST:
             if len(self.memo) >= MEMO_WORDS:

@@ -98,3 +98,18 @@ def test_select_features(spark):
     assert found.table.count() == 400
     preferred = tf.select_features(df, "y", 0.5, threshold=0.3, redundancy=0.95, prefer=["x"])
     assert preferred.features == ["x"] and preferred.table.columns == ["x", "y"]
+
+
+@pytest.mark.parametrize("width", [16, 17, 24])
+def test_matrix_of_any_width(spark, width):
+    columns = [f"c{at}" for at in range(width)]
+    df = spark.range(60).selectExpr(*[f"double((id * {at + 3}) % {at + 7}) AS c{at}" for at in range(width - 1)], f"7.0D AS c{width - 1}")
+    cells = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, columns).collect()}
+    assert len(cells) == width * width
+    assert all(cells[a, b] == cells[b, a] for a, b in cells)
+    assert all((value is None) == (columns[-1] in pair) for pair, value in cells.items())
+    wide = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, columns, "mllib").collect()}
+    assert all(value is None and wide[pair] is None or abs(value - wide[pair]) < 1e-9 for pair, value in cells.items())
+    for method in ("aggregate", "mllib"):
+        empty = tf.corr_matrix(df.limit(0), columns, method).collect()
+        assert len(empty) == width * width and all(row.corr is None for row in empty)

@@ -20,13 +20,22 @@ def hash_unit(key: str | list[str], seed: int = 42, stream: str = "") -> Column:
 
     ``stream`` names the purpose ("sample", "fold", ...), so that two choices with
     one seed are independent: without it, a row kept by a 30 % sample would always
-    fall in the first 80 % of a split. A NULL key counts as an empty string, so
-    every row gets a number.
+    fall in the first 80 % of a split. A NULL in the key raises an error when the row is
+    reached: rows without a key would all fall in one part. Of a key of several columns, each
+    part's length goes along, so that different keys are different texts.
     """
     names = [key] if isinstance(key, str) else list(key)
     prefix = f"{seed}:{stream}:" if stream else f"{seed}:"
-    parts = [F.coalesce(named(name).cast("string"), F.lit("")) for name in names]
-    digest = F.md5(F.concat(F.lit(prefix), F.concat_ws("|", *parts)))
+    parts = [
+        F.coalesce(
+            named(name).cast("string"),
+            F.raise_error(F.lit(f"the key column {name!r} holds NULL")).cast("string"),
+        )
+        for name in names
+    ]
+    if len(parts) > 1:
+        parts = [F.concat(F.length(part).cast("string"), F.lit(":"), part) for part in parts]
+    digest = F.md5(F.concat(F.lit(prefix), *parts))
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("long") / F.lit(float(2**32))
 
 

@@ -13,41 +13,41 @@ from tallyframe.functions.columns import named
 from tallyframe.functions.hashing import hash_part, hash_unit
 from tallyframe.operators.profiling import class_balance
 
-# A stratum is a class; more of them than this means the wrong column was given.
-MOST_STRATA = 1000
 
-
-def balance_fractions(df: DataFrame, label: str) -> dict[Any, float]:
-    """Sampling fraction per class that brings all classes to the smallest one's size."""
-    rows = class_balance(df, label).limit(MOST_STRATA + 1).collect()
-    if len(rows) > MOST_STRATA:
-        raise ValueError(f"{label!r} has more than {MOST_STRATA} distinct values")
-    return {row[label]: row.fraction for row in rows if row[label] is not None}
+def balance_fractions(df: DataFrame, label: str) -> DataFrame:
+    """``label, fraction``: what brings every class to the smallest one's size."""
+    return class_balance(df, label).where(named(label).isNotNull()).select(named(label), "fraction")
 
 
 def stratified_sample(
     df: DataFrame,
     label: str,
-    fractions: Mapping[Any, float],
+    fractions: Mapping[Any, float] | DataFrame,
     key: str | list[str],
     seed: int = 42,
     check_strata: bool = False,
 ) -> DataFrame:
     """Keep each row with the probability of its class, chosen by the hash of its key.
 
-    A class that ``fractions`` does not list has probability 0. ``check_strata``
-    looks for such classes first and warns.
+    ``fractions`` is a mapping, or a frame ``label, fraction`` with a row per class, which
+    is joined and may have any number of classes. A class that is not listed has
+    probability 0. ``check_strata`` looks for such classes first and warns.
     """
+    unit = hash_unit(key, seed, "sample")
+    if isinstance(fractions, DataFrame):
+        listed = fractions.select(named(label).alias("__class"), F.col("fraction").alias("__fraction"))
+        joined = df.join(listed, named(label) == F.col("__class"))
+        return joined.where(unit < F.col("__fraction")).select(*[named(name) for name in df.columns])
     if check_strata:
         _warn_of_unlisted(df, label, fractions)
     if not fractions:
         raise ValueError("give the sampling fraction of at least one class")
-    listed = iter(fractions.items())
-    code, fraction = next(listed)
+    pairs = iter(fractions.items())
+    code, fraction = next(pairs)
     limit = F.when(named(label) == F.lit(code), F.lit(float(fraction)))
-    for code, fraction in listed:
+    for code, fraction in pairs:
         limit = limit.when(named(label) == F.lit(code), F.lit(float(fraction)))
-    return df.where(hash_unit(key, seed, "sample") < limit.otherwise(0.0))
+    return df.where(unit < limit.otherwise(0.0))
 
 
 def stratified_sample_native(

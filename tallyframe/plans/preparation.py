@@ -26,7 +26,7 @@ def prepare_training_set(
     """Select columns, make the label, clean, and balance the classes.
 
     Everything but the class counts is one scan with one filter and one projection.
-    ``fractions`` given beforehand save that count.
+    ``fractions`` given beforehand save that count, else it is joined by class.
     """
     columns = [key, *features, target]
     labelled = make_label(df.select(*map(named, columns)), target, positive, negative)

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import tallyframe as tf
+from tallyframe.functions.hashing import hash_unit
 
 
 def test_split_does_not_depend_on_partitions(spark):
@@ -27,10 +28,13 @@ def test_split_weights(spark):
         tf.split_column(spark.range(3), "id", {"a": 0})
 
 
-def test_every_row_gets_a_part(spark):
-    df = spark.createDataFrame([(None, None), (1, None), (None, "x")], "a int, b string")
-    assert tf.split_column(df, ["a", "b"]).where("part IS NULL").count() == 0
-    assert tf.fold_column(df, "a", 5).where("fold IS NULL").count() == 0
+def test_keys(spark):
+    df = spark.createDataFrame([("a|b", "c"), ("a", "b|c")], "a string, b string")
+    assert df.select(hash_unit(["a", "b"])).distinct().count() == 2
+    nulls = spark.createDataFrame([(None, None), (1, None)], "a int, b string")
+    for choice in (tf.split_column(nulls, ["a", "b"]), tf.fold_column(nulls, "b", 5)):
+        with pytest.raises(Exception, match="holds NULL"):
+            choice.collect()
 
 
 def test_choices_with_one_seed_are_independent(spark):
@@ -60,8 +64,14 @@ def test_unlisted_strata_leave_with_a_warning(spark, native):
 def test_balance(spark):
     df = spark.range(10000).withColumn("label", (F.col("id") % 5 == 0).cast("int"))
     fractions = tf.balance_fractions(df, "label")
-    assert fractions == {1: 1.0, 0: 0.25}
+    assert {r.label: r.fraction for r in fractions.collect()} == {1: 1.0, 0: 0.25}
     n = {r.label: r.n for r in tf.group_count(tf.stratified_sample(df, "label", fractions, "id"), "label").collect()}
     assert n[1] == 2000 and n[0] == pytest.approx(2000, rel=0.1)
-    with pytest.raises(ValueError):
-        tf.balance_fractions(df, "id")
+
+
+def test_balance_of_thousands_of_strata(spark):
+    df = spark.range(15000).withColumn("label", F.least(F.col("id") % 5001, F.lit(4999)))
+    fractions = tf.balance_fractions(df, "label")
+    assert fractions.count() == 5000
+    kept = tf.stratified_sample(df, "label", fractions, "id")
+    assert kept.columns == df.columns and kept.select("label").distinct().count() > 4500

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
+from fractions import Fraction
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -86,11 +87,15 @@ def well_filled_columns(df: DataFrame, min_present: int | float, **rules) -> lis
     if isinstance(min_present, float):
         if not 0.0 <= min_present <= 1.0:
             raise ValueError("a float min_present is a share between 0 and 1")
-        needed = (F.col("n_missing") + F.col("n_present")) * F.lit(min_present)
+        # The share as it is written, in whole numbers: 0.07 of 100 rows are 7 rows.
+        share = Fraction(repr(min_present))
+        enough = F.col("n_present").cast("decimal(38,0)") * F.lit(share.denominator) >= (
+            F.col("n_missing") + F.col("n_present")
+        ).cast("decimal(38,0)") * F.lit(share.numerator)
     else:
-        needed = F.lit(min_present)
+        enough = F.col("n_present") >= F.lit(min_present)
     # One row per column comes to the driver, since it decides the next schema.
-    kept = {row.feature for row in profile.where(F.col("n_present") >= needed).collect()}
+    kept = {row.feature for row in profile.where(enough).collect()}
     return [name for name in df.columns if name in kept]
 
 
@@ -181,17 +186,26 @@ def transpose(
     values: Sequence[str],
     columns: Sequence[str] | None = None,
     label: str = "feature",
+    joined: str | None = None,
 ) -> DataFrame:
     """Turn columns to rows and the ``values`` of ``pivot_col`` to columns.
 
-    ``values`` is stated, which saves the job that would look for them. Where
-    several rows share a ``pivot_col`` value, the largest cell is taken.
+    ``values`` is stated, which saves the job that would look for them. Where several rows
+    share a ``pivot_col`` value, an error is raised, as one cell cannot hold them; with
+    ``joined``, cells become texts and those of such rows are sorted and joined by it.
     """
     columns = list(columns or [name for name in df.columns if name != pivot_col])
-    long = df.unpivot(
+    cells = [named(name) if joined is None else named(name).cast("string").alias(name) for name in columns]
+    long = df.select(named(pivot_col), *cells).unpivot(
         [named(pivot_col)], [named(name) for name in columns], label, "value"
     )
-    return long.groupBy(label).pivot(pivot_col, list(values)).agg(F.max("value"))
+    if joined is not None:
+        cell = F.array_join(F.array_sort(F.collect_list("value")), joined)
+    else:
+        # Rows are counted, not cells: two rows clash even where one holds NULL.
+        several = F.raise_error(F.lit(f"several rows share a value of {pivot_col!r}"))
+        cell = F.when(F.count(F.lit(1)) > 1, several.cast(long.schema["value"].dataType)).otherwise(F.max("value"))
+    return long.groupBy(label).pivot(pivot_col, list(values)).agg(cell)
 
 
 def histogram(df: DataFrame, column: str | Column, bins: int = 64) -> DataFrame:

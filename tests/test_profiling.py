@@ -174,3 +174,17 @@ def test_histogram_of_one_value_and_of_none(spark):
     assert [row.n for row in tf.histogram(one.where("x > 5"), "x", 4).collect()] == [0] * 4
     with pytest.raises(ValueError):
         tf.histogram(one, "x", 0)
+
+
+def test_shares_are_exact(spark):
+    df = spark.range(100).selectExpr("id", "if(id < 7, id, NULL) AS seven", "if(id < 6, id, NULL) AS six")
+    assert tf.prune_columns(df, 0.07).columns == ["id", "seven"]
+    assert tf.prune_columns(df, 1.0).columns == ["id"]
+
+
+def test_transpose_keeps_or_refuses_clashing_cells(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 2.0), ("b", 3.0)], "k string, x double")
+    with pytest.raises(Exception, match="share a value"):
+        tf.transpose(df, "k", ["a", "b"]).collect()
+    joined = tf.transpose(df, "k", ["a", "b"], joined=" ").first()
+    assert (joined["a"], joined["b"]) == ("1.0 2.0", "3.0")

@@ -121,8 +121,11 @@ def make_label(
 ) -> DataFrame:
     """Rename the answer column and turn its two answers to 1 and 0.
 
-    Rows with any other answer, or none, leave.
+    Rows with any other answer, or none, leave. A table that has a column named as the
+    label already is refused; drop or rename it first.
     """
+    if label != column and label.lower() in (name.lower() for name in df.columns):
+        raise ValueError(f"the table already has a column {label!r}")
     answer = named(label)
     renamed = df.withColumnRenamed(column, label)
     kind = renamed.schema[label].dataType

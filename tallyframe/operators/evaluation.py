@@ -3,7 +3,8 @@
 Everything is an aggregation over ``(label, prediction)`` or ``(label, score)``. The
 optional ``by`` columns (a model name, train or test) give one result per group in
 the same pass. A label or prediction other than 0 counts as positive; rows where
-one is NULL are left out.
+one is NULL or NaN are left out, from matrices by their prediction and from curves by
+their score.
 """
 
 from __future__ import annotations
@@ -157,7 +158,8 @@ def threshold_counts(
     ``threshold, hits, alarms`` are the positives and negatives that score exactly
     this; ``tp, fp`` those that score at least this; ``positives, negatives`` all.
     """
-    rows = df.where(named(label).isNotNull()).select(
+    # NaN would be ordered above every number, and so count as the surest positive.
+    rows = df.where(named(label).isNotNull() & ~F.isnan(named(score).cast("double"))).select(
         *map(named, by),
         named(score).cast("double").alias("threshold"),
         F.when(named(label) != 0, 1).otherwise(0).cast("bigint").alias("hits"),

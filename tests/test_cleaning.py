@@ -103,3 +103,9 @@ def test_size_and_schema_reports(spark):
     assert {tuple(r) for r in sizes.collect()} == {("before", 5, 2), ("after", 3, 1)}
     assert [(r.name, r.type) for r in tf.schema_rows(df).orderBy("position").collect()] == [("id", "bigint"), ("x", "string")]
     assert [r.id for r in tf.preview(df, 2, [F.desc("id")]).collect()] == [4, 3]
+
+
+def test_label_must_be_a_new_name(spark):
+    df = spark.createDataFrame([(1, 1)], "answer int, label int")
+    with pytest.raises(ValueError, match="already has"):
+        tf.make_label(df, "answer", 1, 3)

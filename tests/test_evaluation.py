@@ -163,3 +163,8 @@ def test_thinned_curve_is_part_of_the_exact_one(spark, predictions):
         mine = [p for p in thin if p[0] == model]
         assert 10 < len(mine) <= 22
         assert (model, None, 0.0, 0.0) in mine and any(p[2:] == (1.0, 1.0) for p in mine)
+
+
+def test_nan_scores_are_left_out(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (0.9, 0), (0.1, 1)], "score double, label int")
+    assert tf.auc_roc(df).first().auc == 0.0

@@ -127,6 +127,8 @@ def classifier(
     chosen = {**(FINAL_PARAMS[kind] if settings is None else settings), **params}
     if kind not in LINEAR:
         chosen.setdefault("seed", 42)
+        # Deep trees: node ids are kept and checkpointed, not found again from the root.
+        chosen.setdefault("cacheNodeIds", True)
     return CLASSIFIERS[kind](featuresCol=features, labelCol=label, **chosen)
 
 
@@ -135,10 +137,11 @@ def fit_classifier(
 ) -> Model:
     """Fit one classifier.
 
-    The tree ensembles cut their lineage by checkpoints every tenth step, which
-    needs the session's checkpoint folder.
+    Trees and their ensembles cut their lineage by checkpoints every tenth step, which
+    needs the session's checkpoint folder; the linear models do not.
     """
-    use_checkpoint_dir(train.sparkSession)
+    if kind not in LINEAR:
+        use_checkpoint_dir(train.sparkSession)
     return classifier(kind, features, label, **params).fit(train.select(features, label))
 
 
@@ -181,9 +184,8 @@ def evaluator(metric: str, label: str = "label") -> Evaluator:
     return MulticlassClassificationEvaluator(labelCol=label, metricName=metric)
 
 
-# Settings that cannot move the area under a curve: a cut-off on the finished score,
-# and how partial sums are merged.
-NO_EFFECT_ON_AREA = ("threshold", "aggregationDepth")
+# A setting that cannot move the area under a curve: a cut-off on the finished score.
+NO_EFFECT_ON_AREA = ("threshold",)
 
 
 def distinct_points(points: Sequence[dict], metric: str) -> list[int]:
@@ -214,13 +216,14 @@ def tune(
 
     Without ``grid`` the full one of the classifier is taken; settings that it does
     not list stay at MLlib's defaults. The table is ``grid_id, params, metric,
-    avg_metric, std_metric``. ``fold`` names a column of fold numbers, which makes the
+    avg_metric, std_metric, fitted_as``; the last is the point whose fits were measured. ``fold`` names a column of fold numbers, which makes the
     folds independent of the partitioning. Points that differ only in settings
     without effect on the metric share their fits; the fitted search holds the first
     of them. The rows are kept in memory and on disk while the search runs, so that
     the features are computed once and not for every fit.
     """
-    use_checkpoint_dir(train.sparkSession)
+    if kind not in LINEAR:
+        use_checkpoint_dir(train.sparkSession)
     grid = TUNING_GRIDS[kind] if grid is None else grid
     metric = metric or TUNING_METRICS[kind]
     estimator = classifier(kind, features, label, TUNING_BASE.get(kind, {}))
@@ -252,19 +255,20 @@ def tune(
             metric,
             float(fitted.avgMetrics[fitted_at.index(places[at])]),
             float(fitted.stdMetrics[fitted_at.index(places[at])]),
+            places[at],
         )
         for at, point in enumerate(points)
     ]
     table = train.sparkSession.createDataFrame(
         results,
         "grid_id int, params map<string,string>, metric string, "
-        "avg_metric double, std_metric double",
+        "avg_metric double, std_metric double, fitted_as int",
     )
     return fitted, table
 
 
 def best_point(results: DataFrame) -> DataFrame:
     """The grid point with the best average metric, the first one on a tie."""
-    row = F.struct("grid_id", "params", "metric", "avg_metric", "std_metric")
+    row = F.struct("grid_id", "params", "metric", "avg_metric", "std_metric", "fitted_as")
     order = F.struct(F.col("avg_metric"), -F.col("grid_id"))
     return results.agg(F.max_by(row, order).alias("best")).select("best.*")

@@ -18,15 +18,15 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import named
 
-# Cut points travel to the driver and back, so their number is bounded.
+# Cut points travel to the driver and back, so their number has a bound unless one is given.
 MOST_BUCKETS = 2000
 
 
 def bucket_count(df: DataFrame, buckets: int | None = None) -> int:
-    """Number of buckets: as asked, else as many as the session has shuffle tasks."""
+    """Number of buckets: as asked, else as many as the session has shuffle tasks, to a bound."""
     if buckets is None:
-        buckets = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(2, min(buckets, MOST_BUCKETS))
+        buckets = min(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_BUCKETS)
+    return max(2, buckets)
 
 
 def cut_points(df: DataFrame, value: str, buckets: int) -> list[float]:
@@ -37,7 +37,7 @@ def cut_points(df: DataFrame, value: str, buckets: int) -> list[float]:
     the sketches of all input tasks.
     """
     steps = F.array(*[F.lit(i / buckets) for i in range(1, buckets)])
-    accuracy = F.lit(10 * buckets)
+    accuracy = F.lit(max(100, 4 * buckets))
     first = (
         df.sample(0.1, seed=42)
         .groupBy((F.spark_partition_id() % 64).alias("part"))

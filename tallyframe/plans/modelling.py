@@ -4,20 +4,24 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 from typing import Any
 
 from pyspark.ml import Model, PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import named
 from tallyframe.operators.evaluation import compare_models, roc_curve
 from tallyframe.operators.features import fit_features, linear_features, tree_features
-from tallyframe.operators.models import CLASSIFIERS, LINEAR, fit_classifier, predict
+from tallyframe.operators.models import CLASSIFIERS, LINEAR, fit_classifier
 from tallyframe.operators.sampling import split_column
 
 
+# The columns that hold the features of each family of models.
+VECTORS = {"linear": "linearFeatures", "tree": "indexedFeatures"}
+
+
 @dataclass(frozen=True)
 class Modelling:
     """Fitted models and their predictions ``model, key, part, label, prediction, score``."""
@@ -63,27 +67,54 @@ def run_models(
     settings = params or {}
     rows = split_column(df, key, seed=seed)
     features: dict[str, PipelineModel] = {}
-    for family in ("linear", "tree"):
-        if not any((kind in LINEAR) == (family == "linear") for kind in kinds):
-            continue
+    for family in dict.fromkeys(map(_family, kinds)):
         features[family] = _fit_family(family, rows, numeric, coded, fit_scope)
 
+    # Train features are made once per family, and so are those of the rows to score.
     models: dict[str, Model] = {}
-    scored: list[DataFrame] = []
     for kind in kinds:
-        family = "linear" if kind in LINEAR else "tree"
-        vector = "features" if family == "linear" else "indexedFeatures"
-        ready = features[family].transform(rows)
-        train = ready.where(F.col("part") == "train")
+        family = _family(kind)
+        train = features[family].transform(rows).where(F.col("part") == "train")
         if spread and family == "tree":
             train = spread_rows(train, key)
-        models[kind] = fit_classifier(kind, train, vector, label, **settings.get(kind, {}))
-        scored.append(
-            predict(models[kind], ready).select(
-                F.lit(kind).alias("model"), key, "part", named(label), "prediction", "score"
+        models[kind] = fit_classifier(kind, train, VECTORS[family], label, **settings.get(kind, {}))
+    return Modelling(features, models, _score_all(rows, key, label, features, models))
+
+
+def _family(kind: str) -> str:
+    return "linear" if kind in LINEAR else "tree"
+
+
+def _score_all(
+    rows: DataFrame,
+    key: str,
+    label: str,
+    features: Mapping[str, PipelineModel],
+    models: Mapping[str, Model],
+) -> DataFrame:
+    """One row per row and model, from one scan: every model adds columns of its own."""
+    ready = rows
+    for pipeline in features.values():
+        ready = pipeline.transform(ready)
+    cells = []
+    for at, (kind, model) in enumerate(models.items()):
+        guess, raw, chance = f"guess_{at}", f"raw_{at}", f"chance_{at}"
+        own = model.copy()
+        own.setPredictionCol(guess).setRawPredictionCol(raw)
+        source = raw
+        if own.hasParam("probabilityCol"):
+            own.setProbabilityCol(chance)
+            source = chance
+        ready = own.transform(ready)
+        cells.append(
+            F.struct(
+                F.lit(kind).alias("model"),
+                named(guess).alias("prediction"),
+                vector_to_array(named(source))[1].alias("score"),
             )
         )
-    return Modelling(features, models, reduce(DataFrame.unionAll, scored))
+    found = ready.select(key, "part", named(label), F.inline(F.array(*cells)))
+    return found.select("model", key, "part", named(label), "prediction", "score")
 
 
 def spread_rows(df: DataFrame, key: str) -> DataFrame:
@@ -104,7 +135,7 @@ def _fit_family(
     if family == "tree":
         pipeline = tree_features([*numeric, *coded], keep_unseen=not all_rows)
         return fit_features(pipeline, rows, rows if all_rows else train)[0]
-    pipeline = linear_features(numeric, coded, keep_unseen=not all_rows)
+    pipeline = linear_features(numeric, coded, VECTORS["linear"], keep_unseen=not all_rows)
     if not all_rows or not coded:
         return fit_features(pipeline, rows, train)[0]
     # The encoder sees all rows, the scaler only the training rows.

@@ -138,15 +138,16 @@ def test_fixed_settings_are_valid(spark):
 
 def test_points_with_the_same_metric_share_fits(spark, rows):
     data = tf.fold_column(tf.assemble(rows, FEATURES), "id", 2)
-    grid = {"threshold": [0.0, 0.2], "aggregationDepth": [2, 4], "regParam": [0.01, 10.0], "maxIter": [5]}
+    grid = {"threshold": [0.0, 0.2], "regParam": [0.01, 10.0], "maxIter": [5]}
     _, table = tf.tune("linear_svc", data, grid, fold="fold", folds=2)
     found = table.collect()
-    assert len(found) == 8 and len({str(sorted(r.params.items())) for r in found}) == 8
+    assert len(found) == 4 and len({str(sorted(r.params.items())) for r in found}) == 4
+    assert len({r.fitted_as for r in found}) == 2 and all(r.fitted_as <= r.grid_id for r in found)
     by_reg = {}
     for r in found:
         by_reg.setdefault(r.params["regParam"], set()).add((r.avg_metric, r.std_metric))
     assert len(by_reg) == 2 and all(len(values) == 1 for values in by_reg.values())
-    alone = {"threshold": [0.2], "aggregationDepth": [4], "regParam": [0.01], "maxIter": [5]}
+    alone = {"threshold": [0.2], "regParam": [0.01], "maxIter": [5]}
     _, single = tf.tune("linear_svc", data, alone, fold="fold", folds=2)
     assert single.first().avg_metric == pytest.approx(next(iter(by_reg["0.01"]))[0], abs=1e-6)
     # Accuracy does depend on the threshold.

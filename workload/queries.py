@@ -9,11 +9,12 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 import tallyframe as tf
+from tallyframe.operators.models import CLASSIFIERS
 from tallyframe.sources import scratch_path
 from workload.inputs import (
     CODED,
@@ -86,12 +87,20 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def pair_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Prepared rows scored by two sets of weights."""
     rows = prepared(spark, sf_dir)
-    strong = tf.linear_score(rows, WEIGHTS, INTERCEPT).withColumn("model", F.lit("strong"))
-    weak = tf.linear_score(rows, WEAK_WEIGHTS, WEAK_INTERCEPT).withColumn(
-        "model", F.lit("weak")
-    )
-    picks = ["id", "label", "model", "margin", "prediction"]
-    return strong.select(picks).unionAll(weak.select(picks))
+    cells = []
+    for model, weights, intercept in (("strong", WEIGHTS, INTERCEPT), ("weak", WEAK_WEIGHTS, WEAK_INTERCEPT)):
+        # Each scorer's columns are renamed, so that both stand beside one another in one scan.
+        rows = tf.linear_score(rows, weights, intercept).withColumnsRenamed(
+            {"margin": f"{model}_margin", "prediction": f"{model}_prediction"}
+        ).drop("score")
+        cells.append(
+            F.struct(
+                F.lit(model).alias("model"),
+                F.col(f"{model}_margin").alias("margin"),
+                F.col(f"{model}_prediction").alias("prediction"),
+            )
+        )
+    return rows.select("id", "label", F.inline(F.array(*cells)))
 
 
 # Scans, sinks and sizes
@@ -589,10 +598,19 @@ def stratified_sample_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.stratified_sample(rows, "label", {1: 1.0, 0: 0.3}, "id")
 
 
-@register("stratified_sample_native")
+@register(
+    "stratified_sample_native",
+    "SELECT label, count(*) AS n_rows, TRUE AS as_expected FROM prepared GROUP BY 1",
+    ("prepared",),
+)
 def stratified_sample_native(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class 1 whole; class 0 within five standard deviations of three tenths."""
     rows = prepared(spark, sf_dir).select("id", "label")
-    return tf.group_count(tf.stratified_sample_native(rows, "label", {1: 1.0, 0: 0.3}), "label")
+    kept = tf.group_count(tf.stratified_sample_native(rows, "label", {1: 1.0, 0: 0.3}), "label")
+    every = tf.group_count(rows, "label").withColumnRenamed("n", "n_rows")
+    share = F.when(F.col("label") == 1, 1.0).otherwise(0.3)
+    near = F.abs(F.col("n") - F.col("n_rows") * share) <= 5 * F.sqrt(F.col("n_rows") * share * (1 - share))
+    return every.join(kept, "label").select("label", "n_rows", near.alias("as_expected"))
 
 
 @register("split_hash", "SELECT id, label, part FROM parted", ("parted",))
@@ -928,63 +946,176 @@ def auc_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tf.auc_roc(pair_scored(spark, sf_dir), score="margin", by=["model"]), "auc")
 
 
-# Model fits: iterative, so without SQL
+# Model fits: SQL cannot repeat them, but states facts that every right fit has
 
 
-def fitted(kind: str, **params) -> Runner:
-    """A query that fits one classifier on the training rows and scores all rows."""
+def facts(predictions: DataFrame, by: list[str], bounded: bool = True) -> DataFrame:
+    """What SQL can say of predictions: rows, positives, wrong values, and a good AUC."""
+    score = F.col("score")
+    outside = score.isNull() | F.isnan(score) | (F.lit(bounded) & ((score < 0) | (score > 1)))
+    counted = predictions.groupBy(*by).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_distinct("id").alias("n_keys"),
+        F.sum("label").cast("bigint").alias("positives"),
+        F.count_if(F.coalesce(~F.col("prediction").isin(0.0, 1.0), F.lit(True))).alias("wrong_predictions"),
+        F.count_if(outside).alias("wrong_scores"),
+    )
+    areas = tf.auc_roc(predictions, by=by)
+    return counted.join(areas, by).select(
+        *counted.columns, (F.col("auc") > 0.9).alias("good_auc")
+    )
+
+
+FACTS_SQL = """
+    count(*) AS n_rows, count(DISTINCT id) AS n_keys, sum(label)::BIGINT AS positives,
+    0::BIGINT AS wrong_predictions, 0::BIGINT AS wrong_scores, TRUE AS good_auc
+"""
+PARTS_SQL = f"SELECT part, {FACTS_SQL} FROM parted GROUP BY 1"
+
+
+def fitted(kind: str) -> Runner:
+    """A query that fits one classifier as chosen, scores all rows and states facts."""
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        modelling = tf.run_models(
-            prepared(spark, sf_dir), "id", NUMERIC, CODED, [kind], {kind: params}, spread=True
-        )
-        return modelling.predictions.drop("model")
+        modelling = tf.run_models(prepared(spark, sf_dir), "id", NUMERIC, CODED, [kind], spread=True)
+        return facts(modelling.predictions, ["part"], kind != "linear_svc")
 
     return run
 
 
-register("fit_logistic")(fitted("logistic"))
-register("fit_linear_svc")(fitted("linear_svc"))
-register("fit_decision_tree")(fitted("decision_tree"))
-register("fit_gbt")(fitted("gbt", maxDepth=5, minInstancesPerNode=10, maxIter=10))
-register("fit_random_forest")(fitted("random_forest"))
+for _kind in CLASSIFIERS:
+    register({"logistic": "fit_logistic"}.get(_kind, f"fit_{_kind}"), PARTS_SQL, ("parted",))(fitted(_kind))
 
 
-@register("pipeline_predict")
+@register("pipeline_predict", PARTS_SQL, ("parted",))
 def pipeline_predict(spark: SparkSession, sf_dir: str) -> DataFrame:
     modelling = tf.run_models(
         prepared(spark, sf_dir), "id", NUMERIC, CODED, ["logistic"], fit_scope="all"
     )
-    return modelling.predictions.drop("model")
+    return facts(modelling.predictions, ["part"])
 
 
-@register("fitted_compare")
+@register(
+    "fitted_compare",
+    f"""
+    SELECT model, part, n_rows, positives, TRUE AS good_accuracy, TRUE AS good_f1
+    FROM (SELECT part, {FACTS_SQL} FROM parted GROUP BY 1),
+         (SELECT unnest([{", ".join(f"'{kind}'" for kind in CLASSIFIERS)}]) AS model)
+    """,
+    ("parted",),
+)
 def fitted_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All five chosen models on the training and the test rows."""
+    modelling = tf.run_models(prepared(spark, sf_dir), "id", NUMERIC, CODED, spread=True)
+    compared = modelling.comparison()
+    counted = tf.confusion_matrix(modelling.predictions, by=["model", "part"]).groupBy("model", "part").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("label") == 1, F.col("n"))).alias("positives")
+    )
+    return compared.join(counted, ["model", "part"]).select(
+        "model", "part", "n_rows", "positives",
+        (F.col("accuracy") > 0.5).alias("good_accuracy"), (F.col("weighted_f") > 0.5).alias("good_f1"),
+    )
+
+
+@register(
+    "fitted_roc",
+    """
+    SELECT model, part, 1::BIGINT AS starts, 1::BIGINT AS ends, 0::BIGINT AS falls, TRUE AS good_area
+    FROM (SELECT DISTINCT part FROM parted), (SELECT unnest(['logistic', 'linear_svc']) AS model)
+    """,
+    ("parted",),
+)
+def fitted_roc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ROC curves of fitted models: each starts and ends in its corner, and never falls."""
     modelling = tf.run_models(
-        prepared(spark, sf_dir), "id", NUMERIC, CODED, ["logistic", "decision_tree"]
+        prepared(spark, sf_dir), "id", NUMERIC, CODED, ["logistic", "linear_svc"]
+    )
+    curve = modelling.roc()
+    order = Window.partitionBy("model", "part").orderBy("fpr", "tpr")
+    stepped = curve.withColumn("last_tpr", F.lag("tpr").over(order)).withColumn("last_fpr", F.lag("fpr").over(order))
+    area = (F.col("fpr") - F.col("last_fpr")) * (F.col("tpr") + F.col("last_tpr")) / 2
+    shapes = stepped.groupBy("model", "part").agg(
+        F.count_if(F.col("threshold").isNull() & (F.col("fpr") == 0) & (F.col("tpr") == 0)).alias("starts"),
+        F.count_if((F.col("fpr") == 1) & (F.col("tpr") == 1)).alias("ends"),
+        F.count_if(F.col("tpr") < F.col("last_tpr")).alias("falls"),
+        F.sum(area).alias("area"),
+    )
+    exact = tf.auc_roc(modelling.predictions, by=["model", "part"])
+    return shapes.join(exact, ["model", "part"]).select(
+        "model", "part", "starts", "ends", "falls", (F.abs(F.col("area") - F.col("auc")) < 1e-9).alias("good_area")
     )
-    return modelling.comparison()
 
 
-def searched(spark: SparkSession, sf_dir: str, kind: str, grid: dict) -> DataFrame:
-    """A small grid over ten folds of the training rows."""
+def searched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The full decision-tree grid over ten folds of the training rows."""
     rows = tf.fold_column(tf.split_column(prepared(spark, sf_dir), "id"), "id", 10)
     train = rows.where(F.col("part") == "train")
-    if kind == "logistic":
-        pipeline, vector = tf.linear_features(NUMERIC, CODED), "features"
-    else:
-        pipeline, vector = tf.tree_features(FEATURES), "indexedFeatures"
-    ready = tf.fit_features(pipeline, train)[1]
-    return tf.tune(kind, ready, grid, vector, fold="fold", folds=10)[1]
+    ready = tf.fit_features(tf.tree_features(FEATURES), train)[1]
+    return tf.tune("decision_tree", ready, None, "indexedFeatures", fold="fold", folds=10)[1]
 
 
-@register("cv_grid")
+_GRID_SQL = """
+    SELECT (row_number() OVER () - 1)::INT AS grid_id, b::VARCHAR AS max_bins, m::VARCHAR AS min_instances,
+           'areaUnderROC' AS metric, TRUE AS in_range
+    FROM (SELECT unnest([8, 16, 32, 64]) AS b, unnest([1, 2, 3, 4]) AS i),
+         (SELECT unnest([10, 100, 200, 500]) AS m, unnest([1, 2, 3, 4]) AS j)
+"""
+
+
+@register("cv_grid", _GRID_SQL.replace("row_number() OVER ()", "row_number() OVER (ORDER BY i, j)"))
 def cv_grid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = {"maxBins": [8, 32], "minInstancesPerNode": [10, 100]}
-    return searched(spark, sf_dir, "decision_tree", grid)
+    return searched(spark, sf_dir).select(
+        "grid_id",
+        F.col("params")["maxBins"].alias("max_bins"),
+        F.col("params")["minInstancesPerNode"].alias("min_instances"),
+        "metric",
+        ((F.col("avg_metric") > 0.5) & (F.col("avg_metric") <= 1) & (F.col("fitted_as") == F.col("grid_id"))).alias("in_range"),
+    )
 
 
-@register("cv_best")
+@register("cv_best", "SELECT 'areaUnderROC' AS metric, TRUE AS is_largest, TRUE AS is_listed")
 def cv_best(spark: SparkSession, sf_dir: str) -> DataFrame:
-    grid = {"elasticNetParam": [0.0, 1.0], "maxIter": [30], "fitIntercept": [False]}
-    return tf.best_point(searched(spark, sf_dir, "logistic", grid))
+    table_ = searched(spark, sf_dir)
+    best = tf.best_point(table_).select("metric", F.col("avg_metric").alias("best"), F.col("params").alias("chosen"))
+    return table_.join(best, "metric").groupBy("metric").agg(
+        (F.max("avg_metric") == F.max("best")).alias("is_largest"),
+        F.bool_or(F.to_json("params") == F.to_json("chosen")).alias("is_listed"),
+    )
+
+
+# More of the operators above
+
+
+@register(
+    "schema_rows",
+    """
+    SELECT (row_number() OVER (ORDER BY ordinal_position) - 1)::INT AS position, column_name AS name
+    FROM (SELECT column_name, ordinal_position FROM information_schema.columns WHERE table_name = 'lineitem')
+    """,
+)
+def schema_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tf.schema_rows(table(spark, sf_dir, "lineitem")).select("position", "name")
+
+
+@register(
+    "precision_by_threshold",
+    f"""
+    SELECT {round_sql("threshold", "threshold")}, {round_sql("tp / (tp + fp)", "precision")}
+    FROM ({_curve_sql("scored")})
+    """,
+    ("scored",),
+)
+def precision_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(tf.precision_by_threshold(scored(spark, sf_dir), score="margin"), "threshold", "precision")
+
+
+@register(
+    "recall_by_threshold",
+    f"""
+    SELECT {round_sql("threshold", "threshold")}, {round_sql("tpr", "recall")}
+    FROM ({_curve_sql("scored")})
+    """,
+    ("scored",),
+)
+def recall_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rounded(tf.recall_by_threshold(scored(spark, sf_dir), score="margin"), "threshold", "recall")

@@ -16,6 +16,7 @@ from tallyframe.operators.codebook import (
     feature_details,
     feature_rows,
     label_codes,
+    unmatched_codes,
 )
 from tallyframe.operators.correlation import (
     corr_matrix,
@@ -45,6 +46,7 @@ from tallyframe.operators.features import (
     fit_features,
     linear_features,
     one_hot,
+    one_hot_observed,
     tree_features,
     vector_columns,
 )
@@ -65,6 +67,7 @@ from tallyframe.operators.profiling import (
     prune_columns,
     summary_stats,
     summary_table,
+    summary_texts,
     transpose,
     well_filled_columns,
 )

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import named
+from tallyframe.operators.cleaning import Rule
 
 
 def codebook_join(
@@ -72,3 +73,21 @@ def label_codes(
         F.min(named(label)).alias(label)
     )
     return counts.join(texts, code, "left")
+
+
+def unmatched_codes(
+    df: DataFrame, columns: Sequence[str], listed: DataFrame, rules: Sequence[Rule] = ()
+) -> DataFrame:
+    """Codes that occur though the codebook does not list them and no rule names them.
+
+    ``feature, code, n``; ``listed(feature, code)`` holds codes as text. A bound names no
+    single code, so ``below`` rules do not count. NULL cells are not codes.
+    """
+    named_codes = [
+        (rule.column, str(code)) for rule in rules if rule.action != "below" for code in rule.values
+    ]
+    known = listed.select("feature", F.col("code").cast("string").alias("code"))
+    if named_codes:
+        known = known.unionAll(df.sparkSession.createDataFrame(named_codes, known.schema))
+    counts = code_counts(df, columns).where(F.col("code").isNotNull())
+    return counts.join(known.distinct(), ["feature", "code"], "left_anti")

@@ -53,6 +53,26 @@ def one_hot(
     return model.transform(df).drop(*columns)
 
 
+def one_hot_observed(
+    df: DataFrame, columns: Sequence[str], fit_on: DataFrame | None = None
+) -> DataFrame:
+    """One 0/1 column per code that occurs, named ``column_code``; the originals go.
+
+    No slot stands for a code that is not there, and none is left out. Codes of ``fit_on``
+    come to the driver, since they decide the schema: meant for coded columns. Any other
+    code, and NULL, is all zeros.
+    """
+    seen = (df if fit_on is None else fit_on).agg(
+        *[F.sort_array(F.collect_set(named(name))).alias(f"c{at}") for at, name in enumerate(columns)]
+    ).first()
+    slots = [
+        F.coalesce((named(name) == F.lit(code)).cast("int"), F.lit(0)).alias(f"{name}_{code}")
+        for at, name in enumerate(columns)
+        for code in seen[at]
+    ]
+    return df.select(*[named(name) for name in df.columns if name not in columns], *slots)
+
+
 def assemble(df: DataFrame, columns: Sequence[str], output: str = "features") -> DataFrame:
     """Put columns in one vector; a NULL or NaN cell is an error."""
     return VectorAssembler(

@@ -164,6 +164,17 @@ def summary_stats(
     )
 
 
+def summary_texts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Count, smallest and largest cell of text columns: ``feature, n, min, max``, in one pass."""
+    texts = [field.name for field in df.schema.fields if field.dataType.simpleString() == "string"]
+
+    def stats(name: str) -> dict[str, str]:
+        cell = sql_name(name)
+        return {"n": f"count({cell})", "min": f"min({cell})", "max": f"max({cell})"}
+
+    return per_column(df, list(columns or texts), stats)
+
+
 def summary_table(
     df: DataFrame, columns: Sequence[str] | None = None, buckets: int | None = None
 ) -> DataFrame:

@@ -1119,3 +1119,94 @@ def precision_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def recall_by_threshold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(tf.recall_by_threshold(scored(spark, sf_dir), score="margin"), "threshold", "recall")
+
+
+@register(
+    "summary_texts",
+    " UNION ALL ".join(
+        f"SELECT '{name}' AS feature, count({name}) AS n, min({name}) AS min, max({name}) AS max FROM part"
+        for name in ("p_name", "p_brand", "p_type")
+    ),
+)
+def summary_texts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tf.summary_texts(table(spark, sf_dir, "part"), ["p_name", "p_brand", "p_type"])
+
+
+@register(
+    "transpose_joined",
+    """
+    SELECT 'n_name' AS feature, {cells} FROM nation
+    """.format(
+        cells=", ".join(
+            f"coalesce(string_agg(n_name, ',' ORDER BY n_name) FILTER (WHERE n_regionkey = {k}), '') AS \"{k}\""
+            for k in range(5)
+        )
+    ),
+)
+def transpose_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Several rows share a pivot value: their cells are joined."""
+    rows = table(spark, sf_dir, "nation").select("n_regionkey", "n_name")
+    return tf.transpose(rows, "n_regionkey", list(range(5)), joined=",")
+
+
+@register(
+    "unmatched_codes",
+    """
+    SELECT feature, code, n FROM (
+      SELECT 'genhlth' AS feature, genhlth::VARCHAR AS code, count(*) AS n FROM survey GROUP BY 2
+      UNION ALL SELECT 'checkup', checkup::VARCHAR, count(*) FROM survey GROUP BY 2)
+    WHERE code NOT IN ('1', '2', '9') AND NOT (feature = 'checkup' AND code = '8')
+    """,
+    ("survey",),
+)
+def unmatched_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    listed = spark.createDataFrame(
+        [(name, code) for name in ("genhlth", "checkup") for code in ("1", "2")], "feature string, code string"
+    )
+    rules = [tf.drop("genhlth", 9), tf.drop("checkup", 9), tf.recode("checkup", 8, 0)]
+    return tf.unmatched_codes(survey(spark, sf_dir), ["genhlth", "checkup"], listed, rules)
+
+
+@register(
+    "one_hot_observed",
+    "SELECT id, "
+    + ", ".join(f"(genhlth = {code})::INT AS genhlth_{code}" for code in (1, 2, 3, 4, 9))
+    + ", "
+    + ", ".join(f"(michd = {code})::INT AS michd_{code}" for code in (1, 2))
+    + " FROM survey",
+    ("survey",),
+)
+def one_hot_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tf.one_hot_observed(survey(spark, sf_dir).select("id", "genhlth", "michd"), ["genhlth", "michd"])
+
+
+@register(
+    "feature_details",
+    """
+    SELECT c.feature, c.code, c.n, f.feature_no, t.short_text, b.question, b.responses FROM (
+      SELECT 'diag' AS feature, diag::VARCHAR AS code, count(*) AS n FROM survey GROUP BY 2
+      UNION ALL SELECT 'michd', michd::VARCHAR, count(*) FROM survey GROUP BY 2) c
+    JOIN (VALUES ('diag', 0), ('michd', 1)) f(feature, feature_no) USING (feature)
+    LEFT JOIN (SELECT CASE n_nationkey WHEN 0 THEN 'diag' WHEN 1 THEN 'michd' END AS feature, n_name AS short_text
+               FROM nation WHERE n_nationkey < 2) t USING (feature)
+    LEFT JOIN (SELECT CASE n_regionkey WHEN 0 THEN 'diag' WHEN 1 THEN 'michd' END AS feature,
+                      min(n_name) AS question, arg_min('key ' || n_nationkey, n_name) AS responses
+               FROM nation WHERE n_regionkey < 2 GROUP BY 1) b USING (feature)
+    """,
+    ("survey",),
+)
+def feature_details(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Question, responses and code counts of two columns; the nations stand for the codebook."""
+    nation = table(spark, sf_dir, "nation")
+
+    def named_by(key: str):
+        return F.when(F.col(key) == 0, "diag").when(F.col(key) == 1, "michd").alias("feature")
+
+    texts = nation.where("n_nationkey < 2").select(named_by("n_nationkey"), F.col("n_name").alias("short_text"))
+    book = nation.where("n_regionkey < 2").select(
+        named_by("n_regionkey"),
+        F.lit(2020).alias("year"),
+        F.col("n_name").alias("question"),
+        F.concat(F.lit("key "), F.col("n_nationkey").cast("string")).alias("responses"),
+    )
+    return tf.feature_details(survey(spark, sf_dir), ["diag", "michd"], texts, book, 2020)

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from pathlib import Path
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -99,6 +99,29 @@ def without(df: DataFrame, *names: str) -> DataFrame:
     return df.select(*[f"`{name}`" for name in df.columns if name.lower() not in names])
 
 
+def likely_among(df: DataFrame, key: Column, wanted: DataFrame, wanted_key: Column, bits: int = 26) -> DataFrame:
+    """The rows of ``df`` whose key may be among the wanted ones, before a join that decides.
+
+    The keys' hashes are marks in a bitmap of ``2 ** bits`` bits, in pieces of 4 KB. It has a
+    size of at most 8 MB whatever the tables, and so may be broadcast. The fuller it is, the
+    more rows pass that the join then drops; none is lost.
+    """
+
+    def place(column: Column) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(1 << bits)) + 1
+
+    marks = wanted.select(place(wanted_key).alias("place")).groupBy(
+        F.bitmap_bucket_number("place").alias("__bucket")
+    ).agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("__marks"))
+    own = place(key)
+    bit = F.bitmap_bit_position(own)
+    byte = F.conv(F.hex(F.expr("substring(__marks, __bit div 8 + 1, 1)")), 16, 10).cast("int")
+    joined = df.withColumn("__bit", bit.cast("int")).withColumn("__bucket", F.bitmap_bucket_number(own))
+    return joined.join(F.broadcast(marks), "__bucket").filter(
+        byte.bitwiseAND(F.expr("shiftleft(1, __bit % 8)")) != 0
+    ).select(*[f"`{name}`" for name in df.columns])
+
+
 def rows_in(df: DataFrame) -> int:
     """A count of rows."""
     return df.agg(F.count(F.lit(1)).alias("n")).first()["n"]

@@ -79,20 +79,14 @@ def host_rates(judged: DataFrame) -> DataFrame:
         F.sum(F.col("base_failed").cast("long")).alias("host_failed"),
     )
     raw = F.col("host_failed") / F.col("host_docs")
-    spread = hosts.agg(F.avg(raw).alias("m"), F.var_pop(raw).alias("v"))
-    prior = spread.select(
-        "m",
-        F.when(F.col("v") > 0, F.least(F.greatest(F.col("m") * (1 - F.col("m")) / F.col("v") - 1, F.lit(1.0)), F.lit(1000.0)))
-        .otherwise(1000.0)
-        .alias("k"),
-    )
-    # One row: the prior. Attached by a scalar join of a one-row aggregate.
-    return hosts.join(F.broadcast(prior)).select(
-        "host",
-        "host_docs",
-        "host_failed",
-        F.round((F.col("host_failed") + F.col("m") * F.col("k")) / (F.col("host_docs") + F.col("k")), 6).alias("host_rate"),
-    )
+    mean, spread = F.avg(raw), F.var_pop(raw)
+    weight = F.when(
+        spread > 0, F.least(F.greatest(mean * (1 - mean) / spread - 1, F.lit(1.0)), F.lit(1000.0))
+    ).otherwise(1000.0)
+    # Two single numbers, as scalar subqueries over the counts.
+    m, k = hosts.agg(mean).scalar(), hosts.agg(weight).scalar()
+    shrunk = (F.col("host_failed") + m * k) / (F.col("host_docs") + k)
+    return hosts.select("host", "host_docs", "host_failed", F.round(shrunk, 6).alias("host_rate"))
 
 
 def apply_host_rules(

@@ -269,6 +269,6 @@ def tune(
 
 def best_point(results: DataFrame) -> DataFrame:
     """The grid point with the best average metric, the first one on a tie."""
-    row = F.struct("grid_id", "params", "metric", "avg_metric", "std_metric", "fitted_as")
+    row = F.struct(*map(named, results.columns))
     order = F.struct(F.col("avg_metric"), -F.col("grid_id"))
     return results.agg(F.max_by(row, order).alias("best")).select("best.*")

@@ -40,7 +40,17 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     df.write.parquet(path)
     gc.collect()
     spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stage_path = path
+    return out
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete the files of steps that nothing will read again."""
+    for df in staged:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._stage_path)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 _shipped: set[str] = set()

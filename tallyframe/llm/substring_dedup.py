@@ -24,7 +24,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import map_batches, stage, without
+from tallyframe.llm.common import discard, map_batches, stage, without
 from tallyframe.llm.hashing import STEP, gathered, mix, signed, window_names, word_names
 
 WINDOW = 35
@@ -207,6 +207,7 @@ def repeated_windows(documents: DataFrame, size: int = WINDOW) -> DataFrame:
     )
     wanted = found.select("key", "pick").join(shared, "pick").groupBy("key").agg(F.collect_set("pick").alias("wanted"))
     todo = stage(texts.join(wanted, "key").select("key", "doc_id", "wanted"), "todo")
+    discard(found)
     again = rows.alias("r").join(
         todo.hint("shuffle_hash").alias("t"),
         (F.col("r.key") == F.col("t.key")) & F.col("r.doc_id").eqNullSafe(F.col("t.doc_id")),
@@ -238,6 +239,7 @@ def repeated_windows(documents: DataFrame, size: int = WINDOW) -> DataFrame:
     # Rows with a name: place is twice the start, plus 1 if the name is repeated where it comes
     # from. Rows without: place is a run of starts that are settled.
     names = stage(map_batches(again, "name long, key long, place long", hashed, rows=10_000), "names")
+    discard(todo)
     group = Window.partitionBy(F.coalesce("name", F.xxhash64("key", "place")))
     told = F.max(F.col("name").isNotNull() & (F.col("place") % 2 == 1)).over(group)
     counted = names.withColumn("many", F.count("name").over(group)).withColumn("told", told)
@@ -249,9 +251,14 @@ def repeated_windows(documents: DataFrame, size: int = WINDOW) -> DataFrame:
         .groupBy("key")
         .agg(F.collect_list("run").alias("runs"))
     )
-    return texts.join(runs, "key", "left").filter((F.col("copies") > 1) | F.col("runs").isNotNull()).select(
-        "address", "copies", "runs"
+    repeats = stage(
+        texts.join(runs, "key", "left")
+        .filter((F.col("copies") > 1) | F.col("runs").isNotNull())
+        .select("address", "copies", "runs"),
+        "repeats",
     )
+    discard(names, texts)
+    return repeats
 
 
 def dedup(documents: DataFrame, size: int = WINDOW) -> DataFrame:
@@ -264,7 +271,7 @@ def dedup(documents: DataFrame, size: int = WINDOW) -> DataFrame:
     one of the new ones are replaced.
     """
     documents = without(documents, "n_words", "n_removed", "kept")
-    repeats = stage(repeated_windows(documents, size), "repeats").select(
+    repeats = repeated_windows(documents, size).select(
         F.col("address").alias("__address"), F.col("copies").alias("__copies"), F.col("runs").alias("__runs")
     )
     names = documents.columns

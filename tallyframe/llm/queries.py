@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,10 +14,11 @@ from tallyframe.sources import scratch_path
 
 
 def vocabulary(name: str) -> Vocabulary:
-    """A public rank file with the pattern that belongs to it."""
+    """A public rank file with the pattern and, if it is there as JSON too, the added tokens that belong to it."""
     import public_tokenizers
 
-    return Vocabulary.read(public_tokenizers.path(name), public_tokenizers.PATTERN)
+    full = public_tokenizers.path(name.replace(".tiktoken", ".json"))
+    return Vocabulary.read(public_tokenizers.path(name), public_tokenizers.PATTERN, full if os.path.exists(full) else None)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -180,6 +180,25 @@ def test_parts_and_words_are_those_of_the_library():
         assert joined == library.encode_ordinary(text)
 
 
+def test_ids_are_those_of_the_library_with_its_defaults(spark):
+    """Texts that hold the added token, whole and in part, between odd blanks and letters."""
+    from tokenizers import Tokenizer
+    import public_tokenizers
+
+    library = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    ids = lambda text: library.encode(text, add_special_tokens=False).ids
+    ranks = vocabulary("byte_bpe_50k.tiktoken")
+    encode, mark = ranks.encoder(), "<|endoftext|>"
+    assert np.frombuffer(encode(f"a{mark}b"), "<u4").tolist() == ids(f"a{mark}b") == [64, 50256, 65]
+    random = np.random.default_rng(2)
+    signs = [mark, mark, mark[:-1], mark[1:], " ", "  ", "\n", "\t", "\x1c", "\xa0", "ab", "'s", "é", "本", "1", "."]
+    texts = ["".join(random.choice(signs, random.integers(0, 20))) for _ in range(400)] + [mark, mark * 2, f" {mark} ", mark.upper()]
+    assert [np.frombuffer(encode(text), "<u4").tolist() for text in texts] == [ids(text) for text in texts]
+    rows = packing.pack(table(spark, list(enumerate(texts))), ranks, capacity=64).collect()
+    want = {(doc, piece, *facts) for doc, text in enumerate(texts) for piece, facts in enumerate(plainly.piece_sums([*ids(text), 0], 64))}
+    assert {(r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"]) for r in rows} == want
+
+
 def test_licenses(docs, none):
     got = sorted_rows(licenses.scan_licenses(docs), "doc_id", "license", "windows", "containment")
     assert got == [(11, "MIT", 1, 1.0)]

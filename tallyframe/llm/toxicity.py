@@ -2,14 +2,16 @@
 
 The lexicon is learned: words, or beginnings of words, that labelled toxic documents hold far
 more often than others. It is kept as a trie. A Levenshtein automaton for a term accepts what
-is at most one edit away from it; here the automata of all terms run down the trie together,
-so a word is compared with all terms at once and left as soon as no state is alive. Each hit is weighed by the words around it: quotation marks and words of
+is at most one edit away from it, or from a word that begins with it if it is a beginning;
+here the automata of all terms run down the trie together, so a word is compared with all
+terms at once and left as soon as no state is alive. Each hit is weighed by the words around it: quotation marks and words of
 reporting speak for quotation, words of address for abuse. A logistic fit on these counts
 gives the score.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections import Counter
 from dataclasses import dataclass
@@ -131,24 +133,32 @@ class Automaton:
     beginning of a word can stand at, each with the edits it took. States and moves are
     made as words ask for them and kept; their number is bounded by the lexicon, as
     letters that no term has are one letter. Most words reach the dead state after a
-    few letters. Open terms are left out.
+    few letters. An open term is found as soon as a place with one edit ends it, whatever
+    follows. Only open terms of fewer than ``SHORTEST`` letters, which are not learned, are
+    left out, as nearly every word begins with something close to them.
     """
 
     DEAD = 0
 
     def __init__(self, terms: list[Term]):
-        self.closed = [(at, term) for at, term in enumerate(terms) if not term.open]
-        self.trie = Trie([term for _, term in self.closed])
-        self.alphabet = {letter for _, term in self.closed for letter in term.text}
+        self.given = [(at, term) for at, term in enumerate(terms) if not term.open or len(term.text) >= SHORTEST]
+        self.trie = Trie([term for _, term in self.given])
+        self.alphabet = {letter for _, term in self.given for letter in term.text}
+        # Lengths that a word one edit away can have.
+        self.shortest = min((len(term.text) for _, term in self.given), default=0) - 1
+        self.longest = max((math.inf if term.open else len(term.text) for _, term in self.given), default=0) + 1
         # Places are numbered, so that sets of them can be told apart.
         self.nodes: list[dict] = []
         self.children: list[dict[str, int]] = []
         self._number(self.trie.root)
         self.known: dict[frozenset, int] = {frozenset(): self.DEAD}
-        self.accepts: list[int | None] = [None]
+        # The first term that a word ending in a state is close to, and the first open one; the number of terms for none.
+        self.none = len(self.given)
+        self.accepts: list[int] = [self.none]
+        self.opens: list[int] = [self.none]
         self.places: list[frozenset] = [frozenset()]
         self.moves: dict[tuple[int, str], int] = {}
-        self.start = self._state({(0, 0, "")}) if self.closed else self.DEAD
+        self.start = self._state({(0, 0, "")}) if self.given else self.DEAD
 
     def _number(self, node: dict) -> int:
         at = len(self.nodes)
@@ -166,8 +176,9 @@ class Automaton:
         if key not in self.known:
             self.known[key] = len(self.places)
             self.places.append(key)
-            ends = [self.nodes[node][""][0] for node, edits, waits in key if edits and not waits and "" in self.nodes[node]]
-            self.accepts.append(min(ends) if ends else None)
+            ends = [self.nodes[node][""] for node, edits, waits in key if edits and not waits and "" in self.nodes[node]]
+            self.accepts.append(min((at for at, _ in ends), default=self.none))
+            self.opens.append(min((at for at, open in ends if open), default=self.none))
         return self.known[key]
 
     def _move(self, state: int, letter: str) -> int:
@@ -191,17 +202,19 @@ class Automaton:
         return self._state(places)
 
     def near(self, word: str) -> int | None:
-        """A term that is one edit away from a word that is no term itself."""
-        state, moves, alphabet = self.start, self.moves, self.alphabet
+        """The first term one edit away from a word, or from a beginning of it if open; the word is no term itself."""
+        state, moves, alphabet, opens, found = self.start, self.moves, self.alphabet, self.opens, self.none
         for letter in word:
             key = (state, letter if letter in alphabet else "?")
             state = moves.get(key, -1)
             if state < 0:
                 state = moves[key] = self._move(*key)
             if state == self.DEAD:
-                return None
-        found = self.accepts[state]
-        return None if found is None else self.closed[found][0]
+                break
+            if opens[state] < found:
+                found = opens[state]
+        found = min(found, self.accepts[state])
+        return None if found == self.none else self.given[found][0]
 
 
 @dataclass(frozen=True)
@@ -222,7 +235,7 @@ class Matcher:
         if found is not None:
             hit: tuple[int, bool] | bool = (found, True)
         else:
-            found = self.automaton.near(word) if SHORTEST <= len(word) <= LONGEST + 1 else None
+            found = self.automaton.near(word) if self.automaton.shortest <= len(word) <= self.automaton.longest else None
             hit = False if found is None else (found, False)
         if len(word) <= 2 * LONGEST:
             if len(self.memo) >= MEMO_WORDS:

@@ -292,6 +292,40 @@ def test_automata_accept_one_edit():
     assert opened.exact("clownish") == 0 and opened.exact("clo") is None
 
 
+def test_open_terms_are_found_with_one_edit():
+    terms = [toxicity.Term("clown", False), toxicity.Term("idiot", True), toxicity.Term("moro", True), toxicity.Term("scum", False)]
+    matcher = toxicity.Matcher(terms)
+    want = {
+        "idoit": 1, "idoits": 1, "iditic": 1, "ixdiotically": 1, "idixtsandidioticfriends": 1, "idiosyncratic": 1, "mroon": 2, "mron": 2,
+        "scm": 3, "scums": 3, "clwn": 0, "clownish": None, "scmx": None, "iiddt": None, "idxxt": None, "mxxon": None, "io": None, "cl": None,
+    }
+    assert {word: hit[0] if (hit := matcher.look(word)) else None for word in want} == want
+    assert matcher.look("idiotic") == (1, True) and matcher.look("idoitic") == (1, False)
+    # Any word against all words' beginnings, the long way round.
+    letters = sorted(set("clownidtmrsu"))
+
+    def edits(word):
+        cuts = [(word[:at], word[at:]) for at in range(len(word) + 1)]
+        yield from (a + b[1:] for a, b in cuts if b)
+        yield from (a + b[1] + b[0] + b[2:] for a, b in cuts if len(b) > 1)
+        yield from (a + c + b[1:] for a, b in cuts if b for c in letters)
+        yield from (a + c + b for a, b in cuts for c in letters)
+
+    close = [set(edits(term.text)) for term in terms]
+    random, seen = np.random.default_rng(4), 0
+    for _ in range(600):
+        word = list(terms[random.integers(0, 4)].text + "".join(random.choice(letters, random.integers(0, 3))))
+        for _ in range(random.integers(0, 3)):
+            word[random.integers(0, len(word))] = str(random.choice(letters + [""]))
+        word = "".join(word)
+        if matcher.trie.exact(word) is None:
+            starts = lambda term: {word[:n] for n in range(len(word) + 1)} if term.open else {word}  # noqa: B023, E731
+            first = next((at for at, term in enumerate(terms) if starts(term) & close[at]), None)
+            assert matcher.automaton.near(word) == first
+            seen += first is not None
+    assert seen > 100
+
+
 def test_quotation_is_told_from_abuse():
     matcher = toxicity.Matcher([toxicity.Term("clown", False)])
     quoted, abuse = matcher.facts('he said "what a clown" to them'), matcher.facts("you are a clown")

@@ -16,18 +16,23 @@ the text, so texts without a license cost a scan. All of it is DataFrame functio
 from __future__ import annotations
 
 import math
+import re
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyframe.llm.license_texts import TEXTS
+
 SHINGLE = 5
 PERCENT = 75
 #: The chance that a matching run goes unseen is below this.
 MISS = 1e-6
+#: Words of a passage of a longer text.
+PASSAGE = 32
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
-#: Opening or naming sentences of well-known licenses.
+#: Opening or naming sentences of well-known licenses; notices and paragraphs of bodies follow below.
 TEMPLATES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-notice": (
@@ -50,6 +55,26 @@ TEMPLATES = {
 }
 
 
+def passages(texts: dict[str, str], size: int = PASSAGE) -> dict[str, str]:
+    """Texts of more than ``size`` words as passages of so many, so that excerpts are found too.
+
+    The last passage ends with the text and may share words with the one before. One length
+    for all of them keeps the runs few.
+    """
+    made = {}
+    for name, text in texts.items():
+        words = re.findall("[A-Za-z0-9]+", text)
+        if len(words) <= size:
+            made[name] = text
+            continue
+        for part, at in enumerate([*range(0, len(words) - size, size), len(words) - size], 1):
+            made[f"{name}-{part}"] = " ".join(words[at : at + size])
+    return made
+
+
+TEMPLATES |= passages(TEXTS)
+
+
 @dataclass(frozen=True)
 class Template:
     name: str
@@ -84,8 +109,6 @@ class Template:
 
 def templates_of(texts: dict[str, str]) -> list[Template]:
     """Templates from texts; those without a word are left out."""
-    import re
-
     made = [Template(name, tuple(re.findall("[a-z0-9]+", text.lower()))) for name, text in sorted(texts.items())]
     return [template for template in made if template.words]
 
@@ -143,7 +166,10 @@ def find_licenses(
     bands = bands_for(miss)
     stride = max(32, max(len(t.words) for t in templates))
     anchors = sorted({word for t in templates for word in t.anchors()})
-    lengths = sorted({len(t.words) for t in templates})
+    by_length = {
+        size: F.array(*map(F.lit, sorted({word for t in templates if len(t.words) == size for word in t.anchors()})))
+        for size in sorted({len(t.words) for t in templates})
+    }
     lowered = F.lower("text")
     held = F.lit(False)
     for word in anchors:
@@ -154,13 +180,14 @@ def find_licenses(
         .filter(F.size("words") > 0)
         .select("doc_id", F.size("words").alias("n"), "words", F.explode(F.sequence(F.lit(0), F.size("words") - 1, F.lit(stride))).alias("at"))
         .select("doc_id", "n", "at", F.slice("words", F.col("at") + 1, F.lit(2 * stride)).alias("window"))
-        .filter(F.arrays_overlap("window", F.array(*map(F.lit, anchors))))
-        .select("doc_id", "n", "at", shingles_of(F.col("window")).alias("shingles"))
+        .withColumn("sizes", F.array_compact(F.array(*[F.when(F.arrays_overlap("window", words), F.lit(size)) for size, words in by_length.items()])))
+        .filter(F.size("sizes") > 0)
+        .select("doc_id", "n", "at", "sizes", shingles_of(F.col("window")).alias("shingles"))
         .withColumn("hashes", sketch(F.col("shingles"), bands))
     )
     # Runs that begin in the first half; the others begin in the next window's first half.
     runs = (
-        cut.select("*", F.explode(F.array(*map(F.lit, lengths))).alias("size"))
+        cut.select("*", F.explode("sizes").alias("size"))
         .select("*", F.explode(F.sequence(F.lit(0), F.lit(stride - 1))).alias("inside"))
         .filter(F.col("at") + F.col("inside") <= F.greatest(F.col("n") - F.col("size"), F.lit(0)))
         .withColumn("many", F.greatest(F.col("size") - SHINGLE + 1, F.lit(1)))

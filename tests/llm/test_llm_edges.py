@@ -224,6 +224,31 @@ def test_licenses_with_changed_words_and_long_texts(spark):
     assert found[1] == 1.0 and set(found) == {1, 2, 4} and 0.75 <= found[4] < 1
 
 
+def test_licenses_by_notice_and_body(spark):
+    """Usual notices, and excerpts of bodies without their opening sentence."""
+    gpl = (
+        "This program is free software: you can redistribute it and/or modify\n# it under the terms of the GNU {} as published by\n"
+        "# the Free Software Foundation, either version 3 of the License, or\n# (at your option) any later version."
+    )
+    rows = [
+        (1, gpl.format("General Public License")), (2, gpl.format("Lesser General Public License")), (3, gpl.format("Affero General Public License")),
+        (4, "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided "
+            "that the above copyright notice and this permission notice appear in all copies."),
+        (5, LONG + " This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, "
+            "sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial."),
+        (6, "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at x"),
+        (7, "The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."),
+        (8, PROSE),
+    ]
+    found: dict = {}
+    for row in licenses.scan_licenses(table(spark, rows)).collect():
+        found.setdefault(row["doc_id"], set()).add(row["license"].split("-")[0])
+    assert {doc: found.get(doc, set()) & {kind} for doc, kind in enumerate(("GPL", "LGPL", "AGPL", "ISC", "Unlicense", "EPL", "MIT"), 1)} == {
+        doc: {kind} for doc, kind in enumerate(("GPL", "LGPL", "AGPL", "ISC", "Unlicense", "EPL", "MIT"), 1)
+    }
+    assert 8 not in found
+
+
 def test_secret_ledger(spark, docs, none):
     ledger = scratch_path(spark, "ledger-test")
     found = secrets.scan_versions(docs, ledger)

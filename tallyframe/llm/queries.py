@@ -7,7 +7,10 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm import byte_bpe, host_rules, jaccard_join, licenses, neighbours, packing, quality, secrets, substring_dedup, toxicity
+from tallyframe.llm import (
+    byte_bpe, host_rules, jaccard_join, lexical, licenses, neighbours, packing, periodic, quality, secrets, sign_dedup,
+    substring_dedup, toxicity,
+)
 from tallyframe.llm.common import read_table
 from tallyframe.llm.vocabulary import Vocabulary
 from tallyframe.sources import scratch_path
@@ -140,6 +143,88 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), vocabulary("byte_bpe_50k.tiktoken"))
 
 
+def op11_sign_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sign_dedup.near_vectors(read_table(spark, sf_dir, "embeddings"))
+
+
+#: Every pair of one label; a component is walked from its ids on.
+OP11_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+p AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.93
+),
+r AS (SELECT vec_id AS a, vec_id AS b FROM embeddings UNION SELECT r.a, p.b FROM r JOIN p ON r.b = p.a),
+c AS (SELECT a AS vec_id, min(b) AS component_id FROM r GROUP BY 1),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM p GROUP BY 1)
+SELECT vec_id, coalesce(n_links, 0)::BIGINT AS n_links, component_id, vec_id = component_id AS kept
+FROM c LEFT JOIN n USING (vec_id)
+"""
+
+
+def repeat_tails(documents: DataFrame) -> DataFrame:
+    """``documents`` whose texts end in repetitions, as the query's contract asks for a tenth of the ids.
+
+    With h the CRC-32 of the id and g = h div 10: where h leaves 0 when divided by 10, each of
+    the n words from place a = g mod n on is replaced by the one that stands where a stretch
+    of 1 + (n - a) div (3 + g mod 8) words from a on, repeated, would have it.
+    """
+    words = F.regexp_extract_all("text", F.lit(r"([^\x20\x09-\x0D]+)"), F.lit(1))
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    # Words are made only where they are needed.
+    chosen = documents.withColumn("__h", h).withColumn("__words", F.when(F.col("__h") % 10 == 0, words))
+    tail = """
+        transform(__words, (word, i) -> if(
+            i < __a, word, element_at(__words, cast(__a + (i - __a) % (1 + (size(__words) - __a) div (3 + __h div 10 % 8)) + 1 as int))
+        ))
+    """
+    placed = chosen.withColumn("__a", F.when(F.size("__words") > 0, F.expr("__h div 10 % size(__words)")))
+    repeated = F.when(F.col("__a").isNotNull(), F.array_join(F.expr(tail), " ")).otherwise(F.col("text"))
+    return placed.withColumn("text", repeated).drop("__h", "__words", "__a")
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    texts = repeat_tails(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic.find_runs(texts).withColumn("longest", periodic.longest_run(F.col("runs")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "longest.start", "longest.length", "longest.period",
+        F.expr("1000 * longest.length div longest.period").alias("exponent_milli"),
+        F.sha2(periodic.runs_text(F.col("runs")).cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.search(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def _terms_sql(table: str, key: str) -> str:
+    pattern = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+    return f"SELECT {key}, regexp_extract_all(translate(text, '{licenses.UPPER}', '{licenses.LOWER}'), '{pattern}') AS terms FROM {table}"
+
+
+OP13_SQL = f"""
+WITH d AS (SELECT doc_id, terms, len(terms) AS n FROM ({_terms_sql("documents", "doc_id")}) WHERE len(terms) > 0),
+c AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM d),
+f AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(terms) AS term FROM d) GROUP BY ALL),
+h AS (SELECT term, count(*) AS df FROM f GROUP BY term),
+w AS (SELECT term, floor(1000 * ln((2 * docs + 2) / (2 * df + 1)))::BIGINT AS w FROM h, c),
+q AS (SELECT DISTINCT item_id, unnest(terms) AS term FROM ({_terms_sql("benchmark", "item_id")})),
+s AS (
+  SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * docs) // total))))::BIGINT AS score
+  FROM q JOIN f USING (term) JOIN w USING (term), c GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 50
+"""
+
+
 QUERIES = {
     "op1_substring_dedup": (op1_substring_dedup, None),
     "op2_host_rules": (op2_host_rules, OP2_SQL),
@@ -151,4 +236,7 @@ QUERIES = {
     "op8_block_neighbours": (op8_block_neighbours, None),
     "op9_jaccard_join": (op9_jaccard_join, None),
     "op10_best_fit_packing": (op10_best_fit_packing, None),
+    "op11_sign_dedup": (op11_sign_dedup, OP11_SQL),
+    "op12_periodic_runs": (op12_periodic_runs, None),
+    "op13_lexical_search": (op13_lexical_search, OP13_SQL),
 }

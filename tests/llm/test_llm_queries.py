@@ -27,7 +27,7 @@ def rows_of(spark, sf_dir, name):
 
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(contract.queries())
-    assert {f"op{n}_" for n in range(1, 11)} == {name.split("_")[0] + "_" for name in QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {name.split("_")[0] + "_" for name in QUERIES}
 
 
 @pytest.mark.parametrize("name", [name for name, (_, sql) in QUERIES.items() if sql])
@@ -106,6 +106,13 @@ def well_packed(rows, size) -> int:
     return len(sequences)
 
 
+def test_periodic_runs(spark, sf_dir, docs):
+    names = ("n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256")
+    got = {row["doc_id"]: tuple(row[name] for name in names) for row in rows_of(spark, sf_dir, "op12_periodic_runs")}
+    want = {doc: plainly.run_digests(doc, text) for doc, text in docs}
+    assert got == want and sum(facts[0] > 0 for facts in want.values()) > 10
+
+
 @pytest.mark.parametrize(
     "name, label, size, least",
     [("op3_line_field", "quality", "0.01", 0.95), ("op7_toxic_terms", "toxic", "0.1", 0.97)],

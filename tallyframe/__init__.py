@@ -38,6 +38,7 @@ from tallyframe.operators.evaluation import (
     precision_by_threshold,
     recall_by_threshold,
     roc_curve,
+    threshold_counts,
     threshold_curves,
     weighted_f1,
 )
@@ -58,6 +59,8 @@ from tallyframe.operators.models import (
     predict,
     tune,
 )
+from tallyframe.operators.logistic_search import fold_features, search_logistic
+from tallyframe.operators.search import search_ensemble
 from tallyframe.operators.profiling import (
     class_balance,
     drop_null_rows,
@@ -81,6 +84,7 @@ from tallyframe.operators.sampling import (
 from tallyframe.plans import (
     FeatureSelection,
     Modelling,
+    join_models,
     prepare_training_set,
     run_models,
     select_features,

@@ -3,22 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
-from itertools import combinations_with_replacement
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.columns import chunks, named, numeric_columns, sql_name, sql_text
+from tallyframe.functions.columns import named, numeric_columns, sql_name
 from tallyframe.functions.statistics import pairwise_corr_sql, varies_sql
+from tallyframe.operators.gram import correlation_rows
 from tallyframe.operators.profiling import drop_null_rows, per_column
 from tallyframe.sources.tables import preview
 
-# Aggregates of this many pairs go in one pass over the rows.
-PAIRS_PER_PASS = 150
-
 
 def target_corr(
     df: DataFrame,
@@ -53,60 +49,29 @@ def top_corr(correlations: DataFrame, n: int = 30) -> DataFrame:
 
 
 def corr_matrix(
-    df: DataFrame, columns: Sequence[str] | None = None, method: str = "aggregate"
+    df: DataFrame, columns: Sequence[str] | None = None, method: str = "blocks"
 ) -> DataFrame:
     """Correlation of all pairs as ``feature_i, feature_j, corr``, both orders.
 
     Rows with a NULL or NaN among the columns are left out. Pairs with a constant column
-    are NULL, and so are all pairs of an empty table. Any number of columns is aggregated
-    pair by pair, in passes of a fixed number of pairs, each of which reads its own columns.
-    ``method='mllib'`` asks for MLlib's matrix product instead, which runs jobs at once.
+    are NULL, and so are all pairs of an empty table. Any number of columns is a blocked
+    matrix product in the tasks, whose blocks are merged and never come to the driver.
+    ``method='mllib'`` asks for MLlib's matrix instead, which runs jobs at once and is collected.
     """
     columns = list(columns or numeric_columns(df))
     rows = drop_null_rows(
         df.select(*[named(name).cast("double").alias(name) for name in columns])
     )
-    if method == "aggregate":
-        return _matrix_by_aggregate(rows, columns)
+    if method == "blocks":
+        return correlation_rows(rows, columns)
     if method == "mllib":
         return _matrix_by_mllib(rows, columns)
     raise ValueError(f"unknown method {method!r}")
 
 
-def _matrix_by_aggregate(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    pairs = list(combinations_with_replacement(columns, 2))
-    return reduce(
-        DataFrame.unionAll, [_pairs_by_aggregate(rows, group) for group in chunks(pairs, PAIRS_PER_PASS)]
-    )
-
-
-def _pairs_by_aggregate(rows: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
-    """Both orders of some pairs, in one pass."""
-    names = list(dict.fromkeys(name for pair in pairs for name in pair))
-    place = {name: at for at, name in enumerate(names)}
-    aggregates = [
-        f"if({varies_sql(sql_name(name))}, stddev_samp({sql_name(name)}), NULL) AS s{at}"
-        for name, at in place.items()
-    ]
-    cells = []
-    for first, second in pairs:
-        i, j = place[first], place[second]
-        if first == second:
-            values = [(first, second, f"if(s{i} > 0, 1.0D, NULL)")]
-        else:
-            aggregates.append(f"covar_samp({sql_name(first)}, {sql_name(second)}) AS v{i}_{j}")
-            value = f"try_divide(v{i}_{j}, s{i} * s{j})"
-            values = [(first, second, value), (second, first, value)]
-        cells += [
-            f"struct({sql_text(one)} AS feature_i, {sql_text(two)} AS feature_j, {value} AS corr)"
-            for one, two, value in values
-        ]
-    return rows.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(cells)}))")
-
-
 def _matrix_by_mllib(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     if rows.isEmpty():
-        return _matrix_by_aggregate(rows, columns)
+        return correlation_rows(rows, columns)
     vectors = VectorAssembler(inputCols=list(columns), outputCol="cells").transform(rows)
     # MLlib returns the matrix itself: columns x columns, whatever the row count.
     matrix = Correlation.corr(vectors.select("cells"), "cells").first()[0].toArray()

@@ -81,6 +81,23 @@ def run_models(
     return Modelling(features, models, _score_all(rows, key, label, features, models))
 
 
+def join_models(df: DataFrame, key: str, runs: Sequence[Modelling], label: str = "label", seed: int = 42) -> Modelling:
+    """Models of several runs over the same table as one, scored in one scan.
+
+    Each kind of model may be in one run only. Where runs fitted the features of a family each
+    by itself, those of the first are taken; over the same training rows they are the same.
+    """
+    features: dict[str, PipelineModel] = {}
+    models: dict[str, Model] = {}
+    for run in runs:
+        if set(run.models) & set(models):
+            raise ValueError("a kind of model is in more than one run")
+        models.update(run.models)
+        for family, pipeline in run.features.items():
+            features.setdefault(family, pipeline)
+    return Modelling(features, models, _score_all(split_column(df, key, seed=seed), key, label, features, models))
+
+
 def _family(kind: str) -> str:
     return "linear" if kind in LINEAR else "tree"
 

@@ -2,6 +2,7 @@ import numpy as np
 import pytest
 
 import tallyframe as tf
+from tallyframe.operators import gram
 
 ROWS = [(1.0, 2.0, 7.0), (2.0, 4.0, 7.0), (3.0, 5.0, 7.0)]
 
@@ -45,7 +46,7 @@ def test_top_breaks_ties_by_name(spark):
     assert [r.feature for r in tf.top_corr(tf.target_corr(df, "y"), 2).collect()] == ["b", "c"]
 
 
-@pytest.mark.parametrize("method", ["aggregate", "mllib"])
+@pytest.mark.parametrize("method", ["blocks", "mllib"])
 def test_matrix(spark, method):
     rng = np.random.default_rng(4)
     data = rng.normal(size=(200, 3))
@@ -67,7 +68,7 @@ def test_methods_meet_at_the_limit(spark):
     rng = np.random.default_rng(5)
     names = [f"c{i}" for i in range(20)]
     df = spark.createDataFrame([tuple(map(float, line)) for line in rng.normal(size=(60, 20))], names)
-    one = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, names, "aggregate").collect()}
+    one = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, names, "mllib").collect()}
     two = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, names).collect()}
     assert one.keys() == two.keys()
     assert all(one[pair] == pytest.approx(two[pair]) for pair in one)
@@ -101,15 +102,50 @@ def test_select_features(spark):
 
 
 @pytest.mark.parametrize("width", [16, 17, 24])
-def test_matrix_of_any_width(spark, width):
+@pytest.mark.parametrize("source", ["range", "sample", "many"])
+def test_matrix_of_any_width(spark, width, source):
     columns = [f"c{at}" for at in range(width)]
-    df = spark.range(60).selectExpr(*[f"double((id * {at + 3}) % {at + 7}) AS c{at}" for at in range(width - 1)], f"7.0D AS c{width - 1}")
+    ids = {"range": spark.range(60), "sample": spark.range(200).sample(0.4, seed=3), "many": spark.range(60).repartition(30)}[source]
+    df = ids.selectExpr(*[f"double((id * {at + 3}) % {at + 7}) AS c{at}" for at in range(width - 1)], f"7.0D AS c{width - 1}")
     cells = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, columns).collect()}
     assert len(cells) == width * width
     assert all(cells[a, b] == cells[b, a] for a, b in cells)
     assert all((value is None) == (columns[-1] in pair) for pair, value in cells.items())
     wide = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, columns, "mllib").collect()}
     assert all(value is None and wide[pair] is None or abs(value - wide[pair]) < 1e-9 for pair, value in cells.items())
-    for method in ("aggregate", "mllib"):
+    for method in ("blocks", "mllib"):
         empty = tf.corr_matrix(df.limit(0), columns, method).collect()
         assert len(empty) == width * width and all(row.corr is None for row in empty)
+
+
+def test_matrix_of_300_columns_in_blocks_and_groups(spark):
+    """Blocks and column groups smaller than the table; default settings of generated code."""
+    rng = np.random.default_rng(9)
+    data = rng.normal(size=(400, 300)) * rng.choice([1e-2, 1.0, 1e8], 300) + rng.choice([0.0, 1e5], 300)
+    data[:, 40] = 0.1
+    df = spark.createDataFrame([tuple(map(float, line)) for line in data], [f"c{at}" for at in range(300)]).repartition(7)
+    columns = df.columns
+    with np.errstate(invalid="ignore", divide="ignore"):
+        want = np.corrcoef(data.T)
+    saved = spark.conf.get("spark.sql.codegen.maxFields")
+    spark.conf.set("spark.sql.codegen.maxFields", "100")
+    try:
+        cells = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, columns).collect()}
+        few = df.select(*columns[:50])
+        split = {(r.feature_i, r.feature_j): r.corr for r in gram.correlation_rows(few, few.columns, side=20, block=8).collect()}
+    finally:
+        spark.conf.set("spark.sql.codegen.maxFields", saved)
+    assert len(cells) == 90_000 and len(split) == 2_500
+    for (a, b), value in cells.items():
+        i, j = int(a[1:]), int(b[1:])
+        assert (value is None) == (40 in (i, j)) and cells[b, a] == value
+        assert value is None or value == pytest.approx(want[i, j], abs=1e-9)
+    assert all(value is None and cells[pair] is None or value == pytest.approx(cells[pair], abs=1e-9) for pair, value in split.items())
+
+
+def test_matrix_shuffles_blocks_not_rows(spark):
+    """The exchanges carry packed blocks; no exchange has a column of the table."""
+    df = spark.range(1000).selectExpr("double(id) AS a", "double(id % 7) AS b")
+    plan = tf.corr_matrix(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert exchanges and all("hashpartitioning(i#" in line for line in exchanges)

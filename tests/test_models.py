@@ -154,3 +154,116 @@ def test_points_with_the_same_metric_share_fits(spark, rows):
     points = [p for p in models.ParamGridBuilder().addGrid(models.LinearSVC.threshold, [0.0, 0.2]).build()]
     assert models.distinct_points(points, "accuracy") == [0, 1]
     assert models.distinct_points(points, "areaUnderROC") == [0, 0]
+
+
+def matrix_of(rows, features, fold):
+    """Features of the rows outside a fold, and of those in it, by MLlib stages fitted outside it."""
+    outside, inside = rows.where(F.col("fold") != fold), rows.where(F.col("fold") == fold)
+    fitted = features.fit(outside)
+    return fitted.transform(outside), fitted.transform(inside)
+
+
+def test_logistic_search_is_many_fits(spark, rows):
+    """Solutions of all points and folds, against MLlib's fits on features made fold by fold."""
+    data = tf.fold_column(rows, "id", 3).cache()
+    grid = {"elasticNetParam": [0.0, 1.0], "fitIntercept": [False, True], "maxIter": [10, 1000], "regParam": [0.0001, 0.1]}
+    table, solved = tf.search_logistic(data, NUMERIC, CODED, grid, folds=3)
+    found = table.orderBy("grid_id").collect()
+    assert [r.grid_id for r in found] == list(range(16)) and all(r.violation <= 1e-8 for r in found)
+    assert [r.fitted_as for r in found] == [0, 1, 0, 1, 4, 5, 4, 5, 8, 9, 8, 9, 12, 13, 12, 13]
+    by_problem = {(r.fitted_as, r.fold): r for r in solved.collect()}
+    assert len(by_problem) == 8 * 3
+    for point, fold in ((0, 0), (5, 1), (8, 2), (13, 0)):
+        ours = by_problem[point, fold]
+        outside, inside = matrix_of(data, tf.linear_features(NUMERIC, CODED), fold)
+        settings = {name: eval(value.capitalize()) for name, value in found[point].params.items()}  # noqa: S307
+        model = LogisticRegression(**{**settings, "maxIter": 2000, "tol": 1e-12}).fit(outside)
+        width = len(ours.coefficients)
+        # One slot for unseen codes is empty in MLlib's vectors; ours follow the codes that occur.
+        theirs = tf.predict(model, inside)
+        by_theirs = tf.auc_roc(theirs).first().auc
+        assert ours.value == pytest.approx(by_theirs, abs=2e-4), (point, fold, width)
+        ours_norm, theirs_norm = sum(abs(v) for v in ours.coefficients), sum(abs(v) for v in model.coefficients)
+        assert ours_norm == pytest.approx(theirs_norm, rel=0.02, abs=1e-4)
+    mean = sum(by_problem[0, fold].value for fold in range(3)) / 3
+    assert found[0].avg_metric == pytest.approx(mean) == found[2].avg_metric
+
+
+def test_logistic_search_does_not_depend_on_partitions(spark, rows):
+    data = tf.fold_column(rows.limit(2000), "id", 2)
+    grid = {"elasticNetParam": [0.5], "fitIntercept": [True], "regParam": [0.01]}
+    one = tf.search_logistic(data.coalesce(1), NUMERIC, CODED, grid, folds=2)[0].first()
+    many = tf.search_logistic(data.repartition(13), NUMERIC, CODED, grid, folds=2)[0].first()
+    assert one.avg_metric == pytest.approx(many.avg_metric, abs=1e-9)
+
+
+def test_folds_do_not_see_their_own_rows(spark):
+    """Scaling of a fold is that of the other folds; a code only it has gets no weight."""
+    lines = [(i, float(i * i), 1 if i < 12 else 2, i % 3) for i in range(24)] + [(24, 5.0, 9, 2), (25, 6.0, 9, 2)]
+    data = spark.createDataFrame(lines, "id int, x double, code int, fold int").repartition(5)
+    made = tf.fold_features(data, ["x"], ["code"], folds=3)
+    assert made.slots == (("code", 1), ("code", 2), ("code", 9))
+    for fold in range(3):
+        rest = [line for line in lines if line[3] != fold]
+        for at, value in enumerate([lambda r: r[1], *[lambda r, c=c: float(r[2] == c) for c in (1, 2, 9)]]):
+            cells = [value(line) for line in rest]
+            mean = sum(cells) / len(cells)
+            deviation = (sum((c - mean) ** 2 for c in cells) / (len(cells) - 1)) ** 0.5
+            assert made.means[fold][at] == pytest.approx(mean)
+            assert made.scales[fold][at] == (pytest.approx(1 / deviation) if deviation else 0.0)
+    assert made.scales[2][3] == 0.0 and made.scales[0][3] > 0
+
+
+def test_quadratic_steps_reach_the_optimum():
+    import numpy as np
+
+    from tallyframe.operators.logistic_search import quadratic_step
+
+    random = np.random.default_rng(4)
+    for _ in range(200):
+        k = int(random.integers(1, 9))
+        root = random.normal(size=(k + 2, k))
+        curve, slope, u = root.T @ root, random.normal(size=k) * 3, random.normal(size=k) * random.integers(0, 2, k)
+        l1, l2 = np.full(k, random.choice([0.0, 0.5, 3.0])), np.full(k, random.choice([0.0, 0.1]))
+        step = quadratic_step(u, slope, curve, l1, l2, 1e-8)
+        smooth, place = slope + curve @ step + l2 * (u + step), u + step
+        wrong = np.where(place != 0, smooth + l1 * np.sign(place), np.sign(smooth) * np.maximum(np.abs(smooth) - l1, 0))
+        assert np.abs(wrong).max() < 1e-6
+
+
+@pytest.mark.parametrize("kind, metric", [("gbt", "areaUnderROC"), ("random_forest", "f1")])
+def test_ensemble_search_is_many_fits(spark, rows, kind, metric):
+    """Points scored by beginnings, against separate fits; limits that no tree reached share a fit."""
+    data = tf.fold_column(tf.fit_features(tf.tree_features(FEATURES), rows.limit(1500))[1], "id", 2).coalesce(1).cache()
+    size = "maxIter" if kind == "gbt" else "numTrees"
+    grid = {"maxDepth": [2, 8, 12], "maxBins": [8], size: [1, 3], "minInstancesPerNode": [60]}
+    table, values = tf.search_ensemble(kind, data, grid, "indexedFeatures", folds=2, parallelism=2)
+    found = table.orderBy("grid_id").collect()
+    assert [r.params[size] for r in found] == ["1", "3"] * 3 and {r.metric for r in found} == {metric}
+    assert found[2].avg_metric == found[4].avg_metric and found[3].avg_metric == found[5].avg_metric
+    held = {(r.fitted_as, r.fold): r.value for r in values.collect()}
+    assert len(held) == 12
+    for point in ((0, 1, 5) if kind == "gbt" else (1, 5)):
+        settings = {name: int(value) for name, value in found[point].params.items()}
+        own = []
+        for fold in (0, 1):
+            model = tf.classifier(kind, "indexedFeatures", settings={}, **settings).fit(data.where(F.col("fold") != fold))
+            scored = tf.predict(model, data.where(F.col("fold") == fold))
+            one = tf.auc_roc(scored).first().auc if metric == "areaUnderROC" else tf.weighted_f1(scored).first().weighted_f1
+            assert held[point, fold] == pytest.approx(one, abs=1e-12)
+            own.append(one)
+        assert found[point].avg_metric == pytest.approx(sum(own) / 2)
+    # A forest of the first tree is a forest of one tree, not that of a fit with one tree.
+    assert all(0.3 <= r.avg_metric <= 1 for r in found)
+
+
+def test_runs_are_joined(spark, rows):
+    runs = [tf.run_models(rows, "id", NUMERIC, CODED, [kind], SMALL) for kind in ("decision_tree", "logistic")]
+    both = tf.join_models(rows, "id", runs)
+    assert set(both.models) == {"decision_tree", "logistic"}
+    for run in runs:
+        kind = next(iter(run.models))
+        mine = both.predictions.where(F.col("model") == kind)
+        assert mine.exceptAll(run.predictions).count() == 0 and mine.count() == rows.count()
+    with pytest.raises(ValueError):
+        tf.join_models(rows, "id", [runs[0], runs[0]])

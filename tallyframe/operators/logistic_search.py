@@ -418,8 +418,8 @@ def quadratic_step(
 ) -> np.ndarray:
     """The step that minimises slope.d + d.curve.d / 2 with the penalties at ``u + d``.
 
-    Which weights are zero, and the signs of the others, are guessed by coordinate steps; a
-    linear solve then finishes within that guess, and the guess is mended while it fails.
+    Coordinate steps say which weights move away from zero, and linear solves go along flat
+    directions, which coordinate steps alone would creep through.
     """
     full = curve + np.diag(l2)
     # Rows whose columns add up to a constant leave the curve flat in one direction.
@@ -439,18 +439,27 @@ def quadratic_step(
             step[j] = new
         if moved <= 0.1 * tolerance:
             return step
+        # Within the signs found so far the problem is linear: go towards its solution, and where
+        # a weight would change its sign on the way, stop there, leave it at zero and go on.
         place = u + step
-        live = np.flatnonzero((place != 0) | (l1 == 0))
-        if len(live):
-            sign = np.sign(place[live])
-            solved = step.copy()
-            solved[place == 0] = -u[place == 0]
-            others = np.setdiff1d(np.arange(len(u)), live)
-            right = -(base[live] + l1[live] * sign + full[np.ix_(live, others)] @ solved[others])
-            solved[live] = np.linalg.solve(full[np.ix_(live, live)], right)
-            after = u + solved
-            kept = (np.sign(after[live]) == sign) | (l1[live] == 0)
-            smooth = base + full @ solved
-            if kept.all() and (np.abs(smooth[others]) <= l1[others] + 0.1 * tolerance).all():
-                return solved
+        live = (place != 0) | (l1 == 0)
+        sign = np.sign(place) * (l1 > 0)
+        while live.any():
+            at = np.flatnonzero(live)
+            slopes = base[at] + l1[at] * sign[at] + full[at] @ step
+            move = -np.linalg.solve(full[np.ix_(at, at)], slopes)
+            place = u[at] + step[at]
+            turns = (sign[at] != 0) & (np.sign(place + move) * sign[at] <= 0) & (move != 0)
+            reach = np.where(turns, -place / np.where(move != 0, move, 1.0), 1.0)
+            first = int(np.argmin(reach))
+            if not turns.any() or reach[first] >= 1.0:
+                step[at] += move
+                break
+            step[at] += max(float(reach[first]), 0.0) * move
+            step[at[first]] = -u[at[first]]
+            live[at[first]] = False
+        smooth = base + full @ step
+        resting = ~live
+        if (np.abs(smooth[resting]) <= l1[resting] + 0.1 * tolerance).all():
+            return step
     return step

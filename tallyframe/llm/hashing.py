@@ -1,6 +1,9 @@
 """64-bit names of words and of windows of words, for whole Arrow batches at a time.
 
-Two different windows share a name with a probability of 2^-64.
+A word's name is a sum of one pseudo-random value for each byte and place, a window's a tree of
+mixed pairs. Neither is a polynomial, so no arrangement of few bytes or words (such as that of
+Thue and Morse) makes two names equal; different words and windows share a name by chance
+alone, with a probability of about 2^-64.
 """
 
 from __future__ import annotations
@@ -12,7 +15,6 @@ import numpy as np
 #: Odd multipliers of a 64-bit mixing function.
 STEP = np.uint64(0x9E3779B97F4A7C15)
 MIX_1 = np.uint64(0xBF58476D1CE4E5B9)
-BASE = np.uint64(0xD6E8FEB86659FD93)
 MIX_2 = np.uint64(0x94D049BB133111EB)
 
 
@@ -23,6 +25,10 @@ def mix(values: np.ndarray) -> np.ndarray:
     return values ^ (values >> np.uint64(31))
 
 
+#: Places in a word whose values are looked up; those of further ones are computed.
+NEAR = 64
+
+
 def _byte_values() -> tuple[np.ndarray, np.ndarray]:
     """A value for each byte, and the same with A-Z as a-z."""
     values = mix(np.arange(1, 257, dtype=np.uint64) * STEP)
@@ -31,11 +37,16 @@ def _byte_values() -> tuple[np.ndarray, np.ndarray]:
     return values, values[lower]
 
 
+def _at_place(values: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The value of a byte (given by its own value) at a place in a word."""
+    return mix(values + place.astype(np.uint64) * MIX_2)
+
+
 def word_names(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
     """The names of all words of the texts, one after the other, and the number of words per text.
 
-    Words are separated by ASCII white space. A word's name is the mixed sum of its bytes'
-    values, each times a power of ``BASE`` by its place. With ``lower``, A-Z count as a-z.
+    Words are separated by ASCII white space. A word's name is the mixed sum of a value for
+    each byte at its place. With ``lower``, A-Z count as a-z.
     """
     joined = np.frombuffer(b" ".join(texts) + b" ", np.uint8)
     space = (joined == 32) | ((joined >= 9) & (joined <= 13))
@@ -47,9 +58,11 @@ def word_names(texts: list[bytes], lower: bool = False) -> tuple[np.ndarray, np.
         return np.zeros(0, np.uint64), counts
     firsts = np.cumsum(lengths) - lengths
     place = np.arange(lengths.sum()) - np.repeat(firsts, lengths)
-    up, _ = _powers(int(lengths.max()))
-    values = _VALUES[1 if lower else 0][joined[~space]]
-    values *= up[place]
+    body, kind = joined[~space], 1 if lower else 0
+    values = _NEAR_VALUES[kind][(np.minimum(place, NEAR - 1) << 8) | body]
+    far = np.flatnonzero(place >= NEAR)
+    if len(far):
+        values[far] = _at_place(_VALUES[kind][body[far]], place[far])
     return mix(np.add.reduceat(values, firsts) + lengths.astype(np.uint64) * STEP), counts
 
 
@@ -73,36 +86,24 @@ def gathered(texts: list[str | None]) -> Iterator[tuple[int, list[bytes]]]:
 def window_names(names: np.ndarray, size: int) -> np.ndarray:
     """The names of all windows of ``size`` consecutive words; none if there are fewer words.
 
-    A window's name is the mixed sum of its words' names, each times a power of ``BASE`` by
-    its place. Sums of long windows are differences of running sums.
+    Stretches of 2, 4, 8, ... words are named from their halves; the last two stretches of the
+    largest such length that fit in a window, its first and last words, name the window.
     """
     many = len(names) - size + 1
     if many <= 0:
         return np.zeros(0, np.uint64)
-    if size <= 8:
-        total = names[size - 1 : size - 1 + many].copy()
-        for at in range(size - 2, -1, -1):
-            total *= BASE
-            total += names[at : at + many]
-        return mix(total)
-    up, down = _powers(len(names))
-    running = np.zeros(len(names) + 1, np.uint64)
-    np.cumsum(names * up[: len(names)], out=running[1:])
-    return mix((running[size:] - running[:many]) * down[:many])
-
-
-_tables: list[np.ndarray] = []
+    made, length = names, 1
+    while 2 * length <= size:
+        made = _joined(made[:-length], made[length:])
+        length *= 2
+    if length < size:
+        made = _joined(made[:many], made[size - length : size - length + many])
+    return made if size > 1 else mix(made)
 
 
-def _powers(many: int) -> tuple[np.ndarray, np.ndarray]:
-    """At least so many powers of ``BASE``, and of its inverse modulo 2^64."""
-    if not _tables or len(_tables[0]) < many:
-        size = max(1 << 16, 2 * many)
-        _tables[:] = [
-            np.cumprod(np.concatenate((np.ones(1, np.uint64), np.full(size - 1, base, np.uint64))))
-            for base in (int(BASE), pow(int(BASE), -1, 1 << 64))
-        ]
-    return _tables[0], _tables[1]
+def _joined(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """The name of two stretches in this order."""
+    return mix(left * MIX_1 + right)
 
 
 def signed(values: np.ndarray) -> np.ndarray:
@@ -111,3 +112,6 @@ def signed(values: np.ndarray) -> np.ndarray:
 
 
 _VALUES = _byte_values()
+_NEAR_VALUES = tuple(
+    _at_place(np.tile(values, NEAR), np.repeat(np.arange(NEAR), 256)) for values in _VALUES
+)

@@ -20,6 +20,7 @@ from tallyframe.operators.codebook import (
 )
 from tallyframe.operators.correlation import (
     corr_matrix,
+    independent_features,
     prune_redundant,
     select_by_corr,
     target_corr,
@@ -91,9 +92,11 @@ from tallyframe.plans import (
 )
 from tallyframe.sources import (
     preview,
+    read_folds,
     read_table,
     schema_rows,
     table_sizes,
+    write_folds,
     write_table,
 )
 

@@ -2,17 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import named, numeric_columns, sql_name
 from tallyframe.functions.statistics import pairwise_corr_sql, varies_sql
 from tallyframe.operators.gram import correlation_rows
 from tallyframe.operators.profiling import drop_null_rows, per_column
+from tallyframe.sources.scratch import scratch_path
 from tallyframe.sources.tables import preview
 
 
@@ -95,32 +96,74 @@ def wide_matrix(matrix: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
+def independent_features(
+    target: DataFrame,
+    matrix: DataFrame,
+    threshold: float = 0.9,
+    prefer: Sequence[str] = (),
+) -> DataFrame:
+    """``feature, preferred, abs_corr`` of the features that repeat none kept before them.
+
+    Features are visited in the order of ``prefer`` and then by falling absolute correlation
+    with the target and by name; one is kept when its absolute correlation with every kept
+    feature is below ``threshold``. The visit is done in rounds of joins: a feature before
+    which no open one repeats it is kept, what repeats a kept one goes, and the others wait for
+    the next round. A round is written to the shared folder, and only the number of open
+    features comes to the driver, so any number of features and pairs will do.
+    """
+    spark = target.sparkSession
+    places = spark.createDataFrame([(name, at) for at, name in enumerate(prefer)], "feature string, preferred int")
+    open_ = _written(
+        target.where(F.col("abs_corr").isNotNull())
+        .select("feature", F.col("abs_corr").cast("double").alias("abs_corr"))
+        .join(places, "feature", "left")
+        .select("feature", "preferred", "abs_corr")
+    )
+
+    def visit(frame: str) -> Column:
+        """What orders features: by preference, strength and name."""
+        first = F.coalesce(F.col(f"{frame}.preferred"), F.lit(len(prefer)))
+        strength = F.when(F.col(f"{frame}.preferred").isNull(), -F.col(f"{frame}.abs_corr")).otherwise(0.0)
+        return F.struct(first.alias("a"), strength.alias("b"), F.col(f"{frame}.feature").alias("c"))
+
+    close = matrix.where((F.abs("corr") >= threshold) & (F.col("feature_i") != F.col("feature_j")))
+    sides = close.select(F.col("feature_i").alias("one"), F.col("feature_j").alias("two"))
+    pairs = _written(
+        sides.unionAll(sides.select(F.col("two"), F.col("one"))).distinct()
+        .join(open_.alias("x"), F.col("one") == F.col("x.feature"))
+        .join(open_.alias("y"), F.col("two") == F.col("y.feature"))
+        # The one that is visited first on the left.
+        .where(visit("x") < visit("y"))
+        .select("one", "two")
+    )
+    kept = None
+    while open_.count():
+        names = open_.select(F.col("feature").alias("one"))
+        waiting = pairs.join(names, "one", "left_semi").select(F.col("two").alias("feature"))
+        chosen = _written(open_.join(waiting, "feature", "left_anti"))
+        gone = pairs.join(chosen.select(F.col("feature").alias("one")), "one", "left_semi").select(F.col("two").alias("feature"))
+        open_ = _written(open_.join(chosen, "feature", "left_anti").join(gone, "feature", "left_anti"))
+        kept = chosen if kept is None else kept.unionAll(chosen)
+    return target.limit(0).select("feature", F.lit(0).alias("preferred"), "abs_corr") if kept is None else kept
+
+
+def _written(df: DataFrame) -> DataFrame:
+    """The frame written to the shared folder and read again, which cuts its lineage."""
+    path = scratch_path(df.sparkSession, "features")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def prune_redundant(
     target: DataFrame,
     matrix: DataFrame,
     threshold: float = 0.9,
     prefer: Sequence[str] = (),
 ) -> list[str]:
-    """Features left after dropping those that repeat one already kept.
-
-    Features are visited in the order of ``prefer`` and then by falling absolute
-    correlation with the target and by name; one is kept when its absolute
-    correlation with every kept feature is below ``threshold``. Both inputs have a
-    bounded number of rows (features, and pairs of features).
-    """
-    strength: Mapping[str, float] = {
-        row.feature: row.abs_corr
-        for row in target.where(F.col("abs_corr").isNotNull()).collect()
-    }
-    close = {
-        (row.feature_i, row.feature_j)
-        for row in matrix.where(F.abs("corr") >= threshold).collect()
-    }
-    by_strength = sorted(strength, key=lambda name: (-strength[name], name))
-    visit = [name for name in prefer if name in strength]
-    visit += [name for name in by_strength if name not in visit]
-    kept: list[str] = []
-    for name in visit:
-        if not any((name, other) in close for other in kept):
-            kept.append(name)
-    return kept
+    """The features of ``independent_features`` in the order of their visit: one name per kept feature."""
+    kept = independent_features(target, matrix, threshold, prefer).collect()
+    last = len(prefer)
+    return [
+        row.feature
+        for row in sorted(kept, key=lambda r: (last, -r.abs_corr, r.feature) if r.preferred is None else (r.preferred, 0.0, r.feature))
+    ]

@@ -1,4 +1,4 @@
-"""Ordered work (running sums, exact quantiles) spread over many tasks.
+"""Ordered work (running sums) spread over many tasks.
 
 A window ordered over the whole table moves every row to one task. Here the value
 range is cut in buckets that hold about as many rows each; the order between
@@ -113,67 +113,3 @@ def running_sums(
         ],
         *[F.col(f"all_{name}") for name in sums],
     )
-
-
-def exact_quantiles(
-    df: DataFrame,
-    columns: Sequence[str],
-    probabilities: Sequence[float],
-    buckets: int | None = None,
-) -> DataFrame:
-    """Exact quantiles ``feature, p, value`` of many columns at once.
-
-    The value for ``p`` is the smallest one that at least a share ``p`` of the
-    column's non-NULL cells do not exceed. Bucket counts tell which bucket holds it,
-    and only the cells of those buckets are shuffled.
-    """
-    long = df.select(
-        *[named(name).cast("double").alias(name) for name in columns]
-    ).unpivot([], [named(name) for name in columns], "feature", "value")
-    long = long.where(F.col("value").isNotNull())
-    placed = add_bucket(
-        long, "value", cut_points(long, "value", bucket_count(df, buckets))
-    )
-
-    counts = placed.groupBy("feature", "bucket").agg(F.count("*").alias("n"))
-    ordered = Window.partitionBy("feature").orderBy("bucket")
-    upto = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.select(
-        "feature",
-        "bucket",
-        F.sum("n").over(upto).alias("last"),
-        (F.sum("n").over(upto) - F.col("n")).alias("before"),
-        F.sum("n").over(Window.partitionBy("feature")).alias("total"),
-    )
-    # In a step of its own, or the windows would count every bucket once per p.
-    ranked = ranked.select(
-        "*", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])).alias("p")
-    )
-    rank = F.greatest(F.ceil(F.col("p") * F.col("total")), F.lit(1))
-    # At most one row per column and probability, hence small enough to broadcast.
-    targets = ranked.withColumn("rank", rank).where(
-        (F.col("before") < F.col("rank")) & (F.col("rank") <= F.col("last"))
-    )
-    wanted = targets.select("feature", "bucket").distinct()
-    near = (
-        placed.join(F.broadcast(wanted), ["feature", "bucket"], "left_semi")
-        .groupBy("feature", "bucket", "value")
-        .agg(F.count("*").alias("n"))
-    )
-    inside = (
-        Window.partitionBy("feature", "bucket")
-        .orderBy("value")
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    steps = near.withColumn("upto", F.sum("n").over(inside))
-    return (
-        steps.join(
-            F.broadcast(targets.select("feature", "bucket", "p", "rank", "before")),
-            ["feature", "bucket"],
-        )
-        .where(
-            (F.col("before") + F.col("upto") >= F.col("rank"))
-            & (F.col("before") + F.col("upto") - F.col("n") < F.col("rank"))
-        )
-        .select("feature", "p", "value")
-    )

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyframe.functions.columns import chunks, named, numeric_columns, sql_name, sql_text
 from tallyframe.functions.missing import MISSING_CODES, MISSING_TEXTS, missing_sql
-from tallyframe.operators.ordering import exact_quantiles
+from tallyframe.operators.radix import exact_quantiles
 
 # Aggregates of this many columns go in one pass. A wider table takes several
 # passes, each reading only its own columns.
@@ -134,12 +134,11 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
     return counts.withColumn("fraction", smallest / F.col("n"))
 
 
-def summary_stats(
-    df: DataFrame, columns: Sequence[str] | None = None, buckets: int | None = None
-) -> DataFrame:
+def summary_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """Count, mean, standard deviation, min, exact quartiles and max per column.
 
-    ``feature, n, mean, sd, min, q1, q2, q3, max``; NULL cells are left out.
+    ``feature, n, mean, sd, min, q1, q2, q3, max``; NULL cells are left out. The quartiles are
+    selected at once by a few scans, the other figures by one scan when they are asked for.
     """
     columns = list(columns or numeric_columns(df))
 
@@ -155,7 +154,7 @@ def summary_stats(
 
     moments = per_column(df, columns, stats)
     cuts = {"q1": 0.25, "q2": 0.5, "q3": 0.75}
-    long = exact_quantiles(df, columns, list(cuts.values()), buckets)
+    long = exact_quantiles(df, columns, list(cuts.values()))
     wide = long.groupBy("feature").agg(
         *[F.max(F.when(F.col("p") == p, F.col("value"))).alias(q) for q, p in cuts.items()]
     )
@@ -175,9 +174,7 @@ def summary_texts(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return per_column(df, list(columns or texts), stats)
 
 
-def summary_table(
-    df: DataFrame, columns: Sequence[str] | None = None, buckets: int | None = None
-) -> DataFrame:
+def summary_table(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
     """The summary laid out as ``DataFrame.summary`` does: one row per statistic."""
     columns = list(columns or numeric_columns(df))
     picks = ["n", "mean", "sd", "min", "q1", "q2", "q3", "max"]
@@ -187,7 +184,7 @@ def summary_table(
             for row, pick in zip(SUMMARY_ROWS, picks)
         ]
     )
-    long = summary_stats(df, columns, buckets).select("feature", F.inline(cells))
+    long = summary_stats(df, columns).select("feature", F.inline(cells))
     return long.groupBy("summary").pivot("feature", columns).agg(F.max("value"))
 
 

@@ -3,18 +3,22 @@
 from tallyframe.sources.scratch import scratch_path, use_checkpoint_dir
 from tallyframe.sources.tables import (
     preview,
+    read_folds,
     read_table,
     schema_rows,
     table_sizes,
+    write_folds,
     write_table,
 )
 
 __all__ = [
     "preview",
+    "read_folds",
     "read_table",
     "schema_rows",
     "scratch_path",
     "table_sizes",
     "use_checkpoint_dir",
+    "write_folds",
     "write_table",
 ]

@@ -58,6 +58,29 @@ def write_table(
     writer.save(path)
 
 
+def write_folds(df: DataFrame, path: str, part: str = "part", fold: str = "fold", mode: str = "overwrite") -> None:
+    """Write a prepared table laid out for its readers: a folder for each part and fold.
+
+    Rows of one folder are spread over the tasks that hold them, not moved to one writer.
+    """
+    write_table(df, path, mode=mode, partition_by=[part, fold])
+
+
+def read_folds(
+    spark: SparkSession, path: str, part: str | None = None, held: int | None = None, others: bool = False
+) -> DataFrame:
+    """Rows of a part, and of one fold or (``others``) of all other folds.
+
+    The choice is on folder names, so files of other parts and folds are not read.
+    """
+    df = spark.read.parquet(path)
+    if part is not None:
+        df = df.where(F.col("part") == part)
+    if held is not None:
+        df = df.where(F.col("fold") != held if others else F.col("fold") == held)
+    return df
+
+
 def schema_rows(df: DataFrame) -> DataFrame:
     """Position, name and type of every column, as rows."""
     rows = [

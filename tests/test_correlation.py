@@ -85,6 +85,39 @@ def test_redundant_features(spark):
     assert tf.prune_redundant(strength, matrix, 0.99) == ["b", "a", "c", "d"]
 
 
+def greedy(strength, close, prefer=()):
+    """The visit one by one."""
+    order = [n for n in prefer if n in strength] + sorted((n for n in strength if n not in prefer), key=lambda n: (-strength[n], n))
+    kept = []
+    for name in order:
+        if not any((name, other) in close or (other, name) in close for other in kept):
+            kept.append(name)
+    return kept
+
+
+@pytest.mark.parametrize("many, share", [(1, 0.0), (40, 0.05), (60, 0.3), (30, 1.0)])
+def test_rounds_pick_what_the_visit_picks(spark, many, share):
+    rng = np.random.default_rng(many)
+    names = [f"f{at}" for at in range(many)]
+    # Ties in strength go by name.
+    strength = {name: float(rng.integers(1, 6)) / 10 for name in names}
+    close = {(a, b) for a in names for b in names if a < b and rng.random() < share}
+    target = spark.createDataFrame(list(strength.items()), "feature string, abs_corr double")
+    pairs = [(a, b, -0.95) for a, b in close] + [(a, a, 1.0) for a in names] + [("f0", "gone", 0.99)]
+    matrix = spark.createDataFrame(pairs, "feature_i string, feature_j string, corr double")
+    prefer = [names[-1], "unknown"]
+    assert tf.prune_redundant(target, matrix, 0.9) == greedy(strength, close)
+    assert tf.prune_redundant(target, matrix, 0.9, prefer) == greedy(strength, close, prefer)
+
+
+def test_a_chain_takes_a_round_for_each_second_feature(spark):
+    names = [f"f{at}" for at in range(6)]
+    target = spark.createDataFrame([(name, 1.0 - at / 10) for at, name in enumerate(names)], "feature string, abs_corr double")
+    matrix = spark.createDataFrame([(a, b, 0.99) for a, b in zip(names, names[1:])], "feature_i string, feature_j string, corr double")
+    assert tf.prune_redundant(target, matrix) == ["f0", "f2", "f4"]
+    assert tf.prune_redundant(target.limit(0), matrix) == []
+
+
 def test_select_features(spark):
     rng = np.random.default_rng(6)
     y = rng.integers(0, 2, 400)

@@ -75,3 +75,20 @@ def test_balance_of_thousands_of_strata(spark):
     assert fractions.count() == 5000
     kept = tf.stratified_sample(df, "label", fractions, "id")
     assert kept.columns == df.columns and kept.select("label").distinct().count() > 4500
+
+
+def test_folds_read_their_own_files(spark, tmp_path):
+    rows = tf.fold_column(tf.split_column(spark.range(500).withColumnRenamed("id", "k"), "k"), "k", 4)
+    path = str(tmp_path / "folds")
+    tf.write_folds(rows, path)
+    want = [tuple(r) for r in rows.collect()]
+    for held, others in ((0, False), (3, True)):
+        found = tf.read_folds(spark, path, "train", held, others)
+        assert sorted(r.k for r in found.collect()) == sorted(
+            k for k, part, fold in want if part == "train" and (fold != held if others else fold == held)
+        )
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        scan = next(line for line in plan.splitlines() if "FileScan parquet" in line)
+        assert "PartitionFilters: [isnotnull(part" in scan and "fold#" in scan.split("PartitionFilters")[1].split("]")[0]
+        assert all(f"part=train/fold={f}" in name for name in found.inputFiles() for f in [name.split("fold=")[1][0]] if "part=train" in name)
+    assert tf.read_folds(spark, path).count() == 500

@@ -583,6 +583,52 @@ def select_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.complete.select("id", *found.features, "label")
 
 
+_CANDIDATES = ["bmi", "nanny", "twice", "almost", "genhlth"]
+_CANDIDATES_SQL = """(
+  SELECT bmi, nanny, bmi * 2 + 1 AS twice, nanny + id % 7 AS almost, genhlth::DOUBLE AS genhlth,
+         CASE WHEN diag = 1 THEN 1 ELSE 0 END AS label
+  FROM survey WHERE diag IN (1, 3) AND NOT isnan(nanny))"""
+
+
+def _greedy_sql(threshold: float, redundancy: float) -> str:
+    """The visit of candidates by falling correlation with the label, one after the other."""
+    strength = " UNION ALL ".join(f"SELECT '{a}' AS feature, abs(corr({a}, label)) AS s FROM c" for a in _CANDIDATES)
+    close = " UNION ALL ".join(
+        f"SELECT '{a}' AS a, '{b}' AS b FROM c HAVING abs(corr({a}, {b})) >= {redundancy}" for a in _CANDIDATES for b in _CANDIDATES if a != b
+    )
+    return f"""
+    , c AS {_CANDIDATES_SQL},
+    ranked AS (SELECT feature, row_number() OVER (
+      ORDER BY CASE feature WHEN 'bmi' THEN 0 WHEN 'nanny' THEN 1 ELSE 2 END, s DESC, feature) AS place FROM ({strength}) WHERE s > {threshold}),
+    close AS ({close}),
+    walk AS (
+      SELECT 0::BIGINT AS place, ['']::VARCHAR[] AS kept
+      UNION ALL
+      SELECT r.place,
+             CASE WHEN EXISTS (SELECT 1 FROM close k WHERE k.a = r.feature AND list_contains(w.kept, k.b))
+                  THEN w.kept ELSE list_append(w.kept, r.feature) END
+      FROM walk w JOIN ranked r ON r.place = w.place + 1)
+    SELECT feature FROM (SELECT unnest(kept) AS feature FROM walk WHERE place = (SELECT max(place) FROM walk)) WHERE feature <> ''
+    """
+
+
+@register("select_features_apart", _greedy_sql(0.1, 0.95), ("survey",))
+def select_features_apart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The selection to its end: sparse columns, incomplete rows, weak and then repeating features go.
+
+    ``twice`` and ``almost`` repeat ``bmi`` and ``nanny``, which are preferred.
+    """
+    rows = labelled(spark, sf_dir).select(
+        "id", "bmi", "nanny", (F.col("bmi") * 2 + 1).alias("twice"), (F.col("nanny") + F.col("id") % 7).alias("almost"),
+        F.col("genhlth").cast("double").alias("genhlth"), "sparse", "allnull", "label",
+    )
+    # A column and its double are as strong but for rounding, so preference decides.
+    found = tf.select_features(
+        rows, "label", 0.4, threshold=0.1, redundancy=0.95, prefer=["bmi", "nanny"], exclude=["id"]
+    )
+    return spark.createDataFrame([(name,) for name in found.features], "feature string")
+
+
 # Sampling and splitting
 
 
@@ -628,6 +674,27 @@ def kfold_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tf.fold_column(prepared(spark, sf_dir).select("id", "label"), "id", 10)
 
 
+@register(
+    "folds_roundtrip",
+    f"""
+    SELECT fold, 'held' AS side, id FROM (SELECT id, part, floor({hash_unit_sql('id', 'fold')} * 10)::INT AS fold FROM parted)
+    WHERE part = 'train' AND fold = 3
+    UNION ALL
+    SELECT fold, 'others', count(*) FROM (SELECT id, part, floor({hash_unit_sql('id', 'fold')} * 10)::INT AS fold FROM parted)
+    WHERE part = 'train' AND fold <> 3 GROUP BY fold
+    """,
+    ("parted",),
+)
+def folds_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The prepared table written by part and fold; a fold's rows and the sizes of the others, read back."""
+    rows = tf.fold_column(tf.split_column(prepared(spark, sf_dir).select("id", "label"), "id"), "id", 10)
+    path = scratch_path(spark, "folds")
+    tf.write_folds(rows, path)
+    held = tf.read_folds(spark, path, "train", 3).select("fold", F.lit("held").alias("side"), "id")
+    others = tf.read_folds(spark, path, "train", 3, others=True).groupBy("fold").agg(F.count(F.lit(1)).alias("id"))
+    return held.unionAll(others.select("fold", F.lit("others").alias("side"), "id"))
+
+
 @register(
     "prepare_training_set",
     f"""

@@ -1,106 +1,235 @@
 """Byte-level BPE over distinct words, merged by Spark higher-order functions.
 
-A text is cut into words by the splitting pattern. Merges depend on a word alone, so each
-distinct word is merged once: its bytes, as an array, are folded with ``aggregate``,
-which joins the adjacent pair of lowest rank until no pair has a rank. Ranks are a
-literal of the plan: an array of small maps, addressed by a checksum of the pair.
-
-Words are counted over all texts. The most frequent ones, as many as fit a stated number,
-are merged once and sent to all tasks as a table; every text is then written as ids with
-gaps for the other words, which are merged where they stand by the same fold. So
-nothing but the bounded table is broadcast and no text is shuffled.
+A text is cut into words by the splitting pattern. Merges depend on a word alone, so words are
+counted over all texts, and each frequent word that is no token itself is merged once: its
+bytes, as an array of ids, are folded with ``aggregate``, which joins the adjacent pair of
+lowest rank until no pair has a rank. The ranks are a literal of the plan, one flat array of
+whole numbers in which a pair stands at one of two places.
+
+The merged words, as many as fit a stated number, go to all tasks as one Arrow table. A task
+looks up the distinct words of a batch there. Words that are not in it, nearly all of them
+such as occur once or twice, are merged in the task by the same rule on a heap, whose
+steps grow with the length of a word and not with its square. So nothing but the bounded
+table is broadcast, and no text is shuffled.
 """
 
 from __future__ import annotations
 
+import heapq
 import json
-import zlib
+import sys
+from array import array
+from collections import Counter
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import lru_cache
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import map_batches, stage
-from tallyframe.llm.vocabulary import Vocabulary, parts_of
+from tallyframe.llm.common import map_arrow, map_batches, stage
+from tallyframe.llm.vocabulary import Vocabulary, packed, parts_of
 
-#: Maps that the ranks are dealt over; a lookup goes through one small map.
-SLOTS = 16_384
 #: Most words in the broadcast table, and the most bytes one of them may have.
 TABLE_WORDS = 400_000
 TABLE_BYTES = 48
-GAP = 0xFFFFFFFF
+#: Parts of texts whose ids a worker keeps.
+MEMO_PARTS = 150_000
+#: Bits of an id in a pair's number.
+ID_BITS = 20
+#: Fixed multipliers of the two places at which a pair may stand.
+PLACES = ((1_000_003, 1), (7_919, 15_485_863))
+NO_RANK = 2_147_483_647
+#: Longer words are merged on a heap.
+SHORT = 64
 
 
-def rank_literal(vocabulary: Vocabulary) -> Column:
-    """The ranks as one literal: slot number to map of token (hex) to rank.
+def pair_slots(ranks: dict[bytes, int]) -> list[int]:
+    """Every pair of tokens that make a token, at one of its two places; 0 where there is none.
 
-    The slot of a token is the CRC-32 of its hex form modulo ``SLOTS``.
+    An entry is the pair's number times 2^20 plus the id of the token that the two make.
     """
-    slots: list[dict[str, int]] = [{} for _ in range(SLOTS)]
-    for token, rank in vocabulary.table().items():
-        name = token.hex().upper()
-        slots[zlib.crc32(name.encode()) % SLOTS][name] = rank
-    return F.from_json(F.lit(json.dumps(slots)), "array<map<string,int>>")
-
-
-def fold_merges(word: Column, ranks: Column) -> Column:
-    """The ids of a word (a string column) as an array of ints.
-
-    The state of the fold is the word's pieces (hex) and the rank of each adjacent pair; a
-    pair without a rank has the largest int. A step joins the first pair of lowest rank and
-    looks up the two pairs beside it again. A word that is a token as a whole is that
-    token.
+    if max(ranks.values(), default=0) >= 1 << ID_BITS:
+        raise ValueError(f"token ids of more than {ID_BITS} bits")
+    pairs = [
+        (ranks[token[:at]], ranks[token[at:]], rank)
+        for token, rank in ranks.items()
+        for at in range(1, len(token))
+        if token[:at] in ranks and token[at:] in ranks
+    ]
+    size = 5 * len(pairs) // 2 + 101
+    while True:
+        slots = _placed(pairs, size)
+        if slots is not None:
+            return slots
+        size += size // 7 + 2
+
+
+def _placed(pairs: list[tuple[int, int, int]], size: int) -> list[int] | None:
+    """The pairs dealt over slots, each pushing out another that has a second place; None if that fails."""
+    held = [-1] * size
+    for number in range(len(pairs)):
+        at = _place(pairs[number][:2], 0, size)
+        for _ in range(200):
+            number, held[at] = held[at], number
+            if number < 0:
+                break
+            one, two = (_place(pairs[number][:2], which, size) for which in (0, 1))
+            at = two if at == one else one
+        else:
+            return None
+    numbered = [(((left << ID_BITS) | right) << ID_BITS) | rank for left, right, rank in pairs]
+    # A slot is empty as 0: the pair (0, 0) that makes 0 does not exist.
+    return [0 if number < 0 else numbered[number] for number in held]
+
+
+def _place(pair: tuple[int, int], which: int, size: int) -> int:
+    left, right = PLACES[which]
+    return (pair[0] * left + pair[1] * right) % size
+
+
+def fold_merges(word: Column, vocabulary: Vocabulary) -> Column:
+    """The ids of a word (a string column) that is no token itself, as an array of ints.
+
+    The state of the fold is the ids of the word's pieces, the rank of each adjacent pair and
+    the lowest of these; a pair without a rank has the largest int. A step joins the first
+    pair of lowest rank, whose rank is the id of the joined piece, and looks up the two pairs
+    beside it.
     """
-    none = F.lit(2147483647)
-
-    def rank(name: Column) -> Column:
-        slot = F.element_at(ranks, (F.crc32(name.cast("binary")) % SLOTS + 1).cast("int"))
-        return F.coalesce(F.element_at(slot, name), none)
+    ranks = vocabulary.table()
+    slots = pair_slots(ranks)
+    table = F.split(F.lit(",".join(map(str, slots))), ",").cast("array<bigint>")
+    single = F.from_json(F.lit(json.dumps([ranks[bytes([byte])] for byte in range(256)])), "array<int>")
+    none, empty, no_pairs = F.lit(NO_RANK), F.array().cast("array<int>"), F.array().cast("array<bigint>")
+
+    def number(left: Column, right: Column) -> Column:
+        return left.cast("bigint") * (1 << ID_BITS) + right.cast("bigint")
+
+    def ranks_of(pairs: Column) -> Column:
+        """The ranks of numbered pairs. The table stands here once, since each mention of it is a copy in the plan."""
+        low_bits = F.lit((1 << ID_BITS) - 1)
+
+        def rank(pair: Column) -> Column:
+            left, right = F.shiftright(pair, ID_BITS), pair.bitwiseAND(low_bits)
+            places = F.array(*[((left * one + right * two) % len(slots) + 1).cast("int") for one, two in PLACES])
+            entries = F.transform(places, lambda place: F.element_at(table, place))
+            own = F.transform(
+                entries, lambda entry: F.when(F.shiftright(entry, ID_BITS) == pair, entry.bitwiseAND(low_bits).cast("int"))
+            )
+            return F.coalesce(F.array_max(own), none)
+
+        return F.transform(pairs, rank)
+
+    def state(pieces: Column, pairs: Column) -> Column:
+        low = F.coalesce(F.array_min(pairs), none)
+        return F.struct(pieces.alias("pieces"), pairs.alias("pairs"), low.alias("low"))
 
     whole = F.hex(word.cast("binary"))
-    count = F.length(whole) / 2
-    bytes_of = F.transform(F.sequence(F.lit(0), (count - 1).cast("int")), lambda at: F.substring(whole, at * 2 + 1, 2))
+    count = (F.length(whole) / 2).cast("int")
+    bytes_of = F.transform(
+        F.sequence(F.lit(0), count - 1),
+        lambda at: F.element_at(single, F.conv(F.substring(whole, at * 2 + 1, 2), 16, 10).cast("int") + 1),
+    )
 
     def pair_ranks(pieces: Column) -> Column:
-        return F.transform(
-            F.slice(pieces, F.lit(1), F.size(pieces) - 1),
-            lambda piece, at: rank(F.concat(piece, F.element_at(pieces, at + 2))),
+        return ranks_of(
+            F.transform(F.slice(pieces, 2, F.size(pieces)), lambda right, at: number(F.element_at(pieces, at + 1), right))
         )
 
-    def step(state: Column, _: Column) -> Column:
-        pieces, pairs = state["pieces"], state["pairs"]
-        return F.when(
-            F.size(pairs) > 0,
-            _with(F.array_min(pairs), lambda low: F.when(low == none, state).otherwise(_joined(pieces, pairs, low))),
-        ).otherwise(state)
+    def step(now: Column, _: Column) -> Column:
+        pieces, pairs, low = now["pieces"], now["pairs"], now["low"]
 
-    def _joined(pieces: Column, pairs: Column, low: Column) -> Column:
         def at_place(at: Column) -> Column:
-            joined = F.concat(F.element_at(pieces, at), F.element_at(pieces, at + 1))
-            return _with(joined, lambda name: F.struct(
-                F.concat(F.slice(pieces, F.lit(1), at - 1), F.array(name), F.slice(pieces, at + 2, F.size(pieces))).alias("pieces"),
-                F.concat(
-                    F.slice(pairs, F.lit(1), F.greatest(at - 2, F.lit(0))),
-                    F.when(at > 1, F.array(rank(F.concat(F.element_at(pieces, F.greatest(at - 1, F.lit(1))), name)))).otherwise(empty),
-                    F.when(at < F.size(pairs), F.array(rank(F.concat(name, F.element_at(pieces, F.least(at + 2, F.size(pieces))))))).otherwise(empty),
-                    F.slice(pairs, at + 2, F.size(pairs)),
-                ).alias("pairs"),
-            ))
-
-        return _with(F.array_position(pairs, low).cast("int"), at_place)
-
-    empty = F.array().cast("array<int>")
-    start = F.struct(bytes_of.alias("pieces"), pair_ranks(bytes_of).alias("pairs"))
-    merged = F.aggregate(
-        F.sequence(F.lit(1), F.greatest(count - 1, F.lit(1)).cast("int")),
-        start,
-        step,
-        lambda state: F.transform(state["pieces"], rank),
-    )
-    return F.when(count == 0, empty).otherwise(
-        F.when(rank(whole) < none, F.array(rank(whole))).otherwise(merged)
-    )
+            before = F.when(
+                at > 1, F.array(number(F.element_at(pieces, F.greatest(at - 1, F.lit(1))), low))
+            ).otherwise(no_pairs)
+            after = F.when(
+                at < F.size(pairs), F.array(number(low, F.element_at(pieces, F.least(at + 2, F.size(pieces)))))
+            ).otherwise(no_pairs)
+            left = F.concat(F.slice(pieces, F.lit(1), at - 1), F.array(low), F.slice(pieces, at + 2, F.size(pieces)))
+            ranked = F.concat(
+                F.slice(pairs, F.lit(1), F.greatest(at - 2, F.lit(0))), ranks_of(F.concat(before, after)), F.slice(pairs, at + 2, F.size(pairs))
+            )
+            return _with(ranked, lambda made: state(left, made))
+
+        # Once no pair has a rank, the steps that are left do nothing.
+        return F.when(low == none, now).otherwise(_with(F.array_position(pairs, low).cast("int"), at_place))
+
+    start = _with(bytes_of, lambda pieces: _with(pair_ranks(pieces), lambda pairs: state(pieces, pairs)))
+    merged = F.aggregate(F.sequence(F.lit(1), F.greatest(count - 1, F.lit(1))), start, step, lambda end: end["pieces"])
+    return F.when(count == 0, empty).otherwise(merged)
+
+
+def merge_bytes(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """The ids of a word by the same rule: the first of the pairs of lowest rank, again and again."""
+    whole = ranks.get(word)
+    if whole is not None:
+        return [whole]
+    return merge_short(word, ranks) if len(word) <= SHORT else merge_long(word, ranks)
+
+
+def merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """By looking through all pairs at every step, which is fastest for a few."""
+    get = ranks.get
+    pieces = [word[at : at + 1] for at in range(len(word))]
+    pairs = [get(word[at : at + 2], NO_RANK) for at in range(len(word) - 1)]
+    while pairs:
+        low = min(pairs)
+        if low == NO_RANK:
+            break
+        at = pairs.index(low)
+        pieces[at : at + 2] = [pieces[at] + pieces[at + 1]]
+        del pairs[at]
+        if at < len(pairs):
+            pairs[at] = get(pieces[at] + pieces[at + 1], NO_RANK)
+        if at:
+            pairs[at - 1] = get(pieces[at - 1] + pieces[at], NO_RANK)
+    return [ranks[piece] for piece in pieces]
+
+
+def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Pairs wait in a heap by rank and place; one that has lost a piece meanwhile is passed over."""
+    size = len(word)
+    #: Where the piece that starts here ends, and where the one that ends here starts.
+    ends, starts = list(range(1, size + 1)), list(range(-1, size))
+    waiting = []
+    for at in range(size - 1):
+        rank = ranks.get(word[at : at + 2])
+        if rank is not None:
+            waiting.append((rank, at, at + 1, at + 2))
+    heapq.heapify(waiting)
+    longest = _longest(id(ranks), ranks)
+    while waiting:
+        _, left, middle, end = heapq.heappop(waiting)
+        if ends[left] != middle or ends[middle] != end:
+            continue
+        ends[left], starts[end] = end, left
+        ends[middle] = 0
+        if end < size and ends[end] - left <= longest:
+            rank = ranks.get(word[left : ends[end]])
+            if rank is not None:
+                heapq.heappush(waiting, (rank, left, end, ends[end]))
+        if left and end - starts[left] <= longest:
+            rank = ranks.get(word[starts[left] : end])
+            if rank is not None:
+                heapq.heappush(waiting, (rank, starts[left], left, end))
+    out, at = [], 0
+    while at < size:
+        out.append(ranks[word[at : ends[at]]])
+        at = ends[at]
+    return out
+
+
+_lengths: dict[int, int] = {}
+
+
+def _longest(key: int, ranks: dict[bytes, int]) -> int:
+    """The bytes of the longest token of a table."""
+    if key not in _lengths:
+        _lengths[key] = max(map(len, ranks), default=0)
+    return _lengths[key]
 
 
 def _with(value: Column, use) -> Column:
@@ -116,23 +245,23 @@ def splitter(pattern: str):
     return regex.compile(pattern, regex.V0).findall
 
 
-def count_words(texts: DataFrame, pattern: str) -> DataFrame:
-    """``word, many`` over all texts; counts are begun in each batch."""
+def count_words(texts: DataFrame, vocabulary) -> DataFrame:
+    """``word, many`` over all texts, of words that are no tokens; counts are begun in each batch."""
 
     def each(got: dict[str, list]) -> dict[str, list]:
-        from collections import Counter
-
-        parts = Counter()
+        tokens, cut = tokens_of(vocabulary.value), splitter(vocabulary.value.pattern)
+        parts: Counter = Counter()
         for text in got["text"]:
             if text:
                 parts.update(parts_of(text))
-        cut, words = splitter(pattern), Counter()
+        words: Counter = Counter()
         for part, many in parts.items():
             for word in cut(part):
                 words[word] += many
-        return {"word": list(words), "many": list(words.values())}
+        kept = [(word, many) for word, many in words.items() if word.encode("utf-8", "surrogatepass") not in tokens]
+        return {"word": [word for word, _ in kept], "many": [many for _, many in kept]}
 
-    return map_batches(texts.select("text"), "word string, many long", each, rows=4096).groupBy("word").agg(F.sum("many").alias("many"))
+    return map_batches(texts.select("text"), "word string, many long", each, rows=1024).groupBy("word").agg(F.sum("many").alias("many"))
 
 
 def frequent_words(spark: SparkSession, counts: DataFrame, most: int = TABLE_WORDS) -> DataFrame:
@@ -162,63 +291,92 @@ def packed_ids(ids: Column) -> Column:
     )
 
 
-def encode(documents: DataFrame, vocabulary: Vocabulary, table_words: int = TABLE_WORDS) -> DataFrame:
+def encode(documents: DataFrame, vocabulary: Vocabulary, table_words: int = TABLE_WORDS, decoded: bool = False) -> DataFrame:
     """``doc_id, ids``: the ids of every text in one binary, 4 bytes each, little-endian.
 
-    ``documents`` has ``doc_id`` and ``text``; other columns are left out. Null and empty texts
-    have no ids. Rows are encoded one by one, so repeated ids stay. An empty table gives an
-    empty result. A word of n bytes costs n steps of n moves each.
+    With ``decoded`` also ``body``, the ids decoded again by the same tasks. ``documents`` has
+    ``doc_id`` and ``text``; other columns are left out. Null and empty texts have no ids. Rows are
+    encoded one by one, so repeated ids stay. An empty table gives an empty result. A word of n
+    bytes that is not in the table costs a number of steps of the order n log n, however long it is.
     """
     spark = documents.sparkSession
-    pattern = vocabulary.pattern
-    ranks = rank_literal(vocabulary)
-    counts = stage(count_words(documents, pattern), "word-counts")
+    given = spark.sparkContext.broadcast(vocabulary)
+    counts = stage(count_words(documents, given), "word-counts")
     # Merged by all tasks and written before the driver reads it: a table of bounded size.
-    table = stage(
-        frequent_words(spark, counts, table_words).select("word", packed_ids(fold_merges(F.col("word"), ranks)).alias("ids")),
-        "merged-words",
-    )
+    chosen = frequent_words(spark, counts, table_words).repartition("word")
+    folded = chosen.select("word", packed_ids(fold_merges(F.col("word"), vocabulary)).alias("ids"))
+    with short_plans(spark):
+        table = stage(folded, "merged-words")
     shared = spark.sparkContext.broadcast(_as_bytes(table.toArrow()))
-    gap = GAP.to_bytes(4, "little")
     kind = dict(documents.dtypes)["doc_id"]
 
-    def with_gaps(got: dict[str, list]) -> dict[str, list]:
-        known, cut = _as_table(shared.value).get, splitter(pattern)
-        memo: dict[str, bytes] = {}
-        ids, rare = [], []
-        for text in got["text"]:
-            out, missing = [], []
-            for part in parts_of(text) if text else ():
-                # Most parts are one word of the table.
-                found = known(part) or memo.get(part)
-                if found is None:
-                    words = cut(part)
-                    pieces = [known(word) for word in words]
-                    if None in pieces:
-                        missing += [word for word, piece in zip(words, pieces) if piece is None]
-                        found = b"".join(gap if piece is None else piece for piece in pieces)
-                    else:
-                        found = memo[part] = b"".join(pieces)
-                out.append(found)
-            ids.append(b"".join(out))
-            rare.append(missing)
-        return {"doc_id": got["doc_id"], "ids": ids, "rare": rare}
-
-    gapped = map_batches(documents.select("doc_id", "text"), f"doc_id {kind}, ids binary, rare array<string>", with_gaps)
-    merged = gapped.select(
-        "doc_id", "ids", F.transform("rare", lambda word: packed_ids(fold_merges(word, ranks))).alias("rare")
-    )
-
-    def filled(got: dict[str, list]) -> dict[str, list]:
-        made = []
-        for ids, rare in zip(got["ids"], got["rare"]):
-            if rare:
-                parts = _cut_at(ids, gap)
-                ids = b"".join(piece for pair in zip(parts, [*rare, b""]) for piece in pair)
-            made.append(ids)
-        return {"doc_id": got["doc_id"], "ids": made}
-
-    return map_batches(merged, f"doc_id {kind}, ids binary", filled)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = Encoder(given.value, _as_table(shared.value))
+        for batch in batches:
+            for first in range(0, batch.num_rows, 512):
+                part = batch.slice(first, 512)
+                ids = encoder.encode(part.column("text").to_pylist())
+                columns = {"doc_id": part.column("doc_id"), "ids": pa.array(ids, pa.binary())}
+                if decoded:
+                    columns["body"] = pa.array([bytes_of(own, given.value) for own in ids], pa.binary())
+                yield pa.RecordBatch.from_pydict(columns)
+
+    schema = f"doc_id {kind}, ids binary" + ", body binary" * decoded
+    return map_arrow(documents.select("doc_id", "text"), run, schema)
+
+
+class Encoder:
+    """Ids of texts in a task, with a memo of parts made up of frequent words."""
+
+    def __init__(self, vocabulary: Vocabulary, merged: pa.Table):
+        self.tokens, self.cut, self.merged = tokens_of(vocabulary), splitter(vocabulary.pattern), merged
+        self.memo: dict[str, bytes] = {}
+
+    def encode(self, texts: list[str | None]) -> list[bytes]:
+        """The packed ids of each text."""
+        memo = self.memo
+        if len(memo) > MEMO_PARTS:
+            memo.clear()
+        split = [parts_of(text) if text else [] for text in texts]
+        cuts = {piece: self.cut(piece) for piece in {piece for pieces in split for piece in pieces if piece not in memo}}
+        known, rare = word_ids({word for words in cuts.values() for word in words}, self.tokens, self.merged)
+        here: dict[str, bytes] = {}
+        for piece, words in cuts.items():
+            # Parts with a rare word are not likely to come again.
+            keep = memo if rare.isdisjoint(words) else here
+            keep[piece] = b"".join([known[word] for word in words])
+        get = memo.get
+        return [b"".join([get(piece) or here[piece] for piece in pieces]) for pieces in split]
+
+
+@contextmanager
+def short_plans(spark: SparkSession) -> Iterator[None]:
+    """Descriptions of plans are kept by the driver; one that holds a large literal is cut."""
+    name = "spark.sql.maxPlanStringLength"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "100000")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def word_ids(words: set[str], tokens: dict[bytes, int], merged: pa.Table) -> tuple[dict[str, bytes], set[str]]:
+    """The packed ids of distinct words, and which are neither tokens nor in the table but merged here."""
+    out, others, rare = {}, [], set()
+    for word in words:
+        own = tokens.get(word.encode("utf-8", "surrogatepass"))
+        if own is None:
+            others.append(word)
+        else:
+            out[word] = packed([own])
+    places = pc.index_in(pa.array(others, pa.string()), value_set=merged["word"])
+    for word, ids in zip(others, pc.take(merged["ids"], places).to_pylist()):
+        if ids is None:
+            rare.add(word)
+            ids = packed(merge_bytes(word.encode("utf-8", "surrogatepass"), tokens))
+        out[word] = ids
+    return out, rare
 
 
 def _as_bytes(table: pa.Table) -> bytes:
@@ -230,23 +388,15 @@ def _as_bytes(table: pa.Table) -> bytes:
 
 
 @lru_cache(maxsize=1)
-def _as_table(data: bytes) -> dict[str, bytes]:
-    """Words to their ids; kept by a worker for its further tasks."""
-    read = pa.ipc.open_stream(data).read_all()
-    return dict(zip(read["word"].to_pylist(), read["ids"].to_pylist()))
-
-
-def _cut_at(ids: bytes, gap: bytes) -> list[bytes]:
-    """The stretches between gaps; a gap stands at a multiple of four."""
-    parts, start, at = [], 0, ids.find(gap)
-    while at >= 0:
-        if at % 4:
-            at = ids.find(gap, at + 1)
-            continue
-        parts.append(ids[start:at])
-        start = at + 4
-        at = ids.find(gap, start)
-    return [*parts, ids[start:]]
+def _as_table(data: bytes) -> pa.Table:
+    """Words and their ids, in one chunk; kept by a worker for its further tasks, as Arrow and not as objects."""
+    return pa.ipc.open_stream(data).read_all().combine_chunks()
+
+
+@lru_cache(maxsize=2)
+def tokens_of(vocabulary: Vocabulary) -> dict[bytes, int]:
+    """The tokens and their ranks."""
+    return vocabulary.table()
 
 
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -255,21 +405,19 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     kind = dict(encoded.dtypes)["doc_id"]
 
     def each(got: dict[str, list]) -> dict[str, list]:
-        from array import array
-        import sys
-
-        pieces = _pieces(shared.value)
-        bodies = []
-        for ids in got["ids"]:
-            numbers = array("I", ids)
-            if sys.byteorder != "little":
-                numbers.byteswap()
-            bodies.append(b"".join(map(pieces.__getitem__, numbers)))
-        return {"doc_id": got["doc_id"], "ids": got["ids"], "body": bodies}
+        return {"doc_id": got["doc_id"], "ids": got["ids"], "body": [bytes_of(ids, shared.value) for ids in got["ids"]]}
 
     return map_batches(encoded.select("doc_id", "ids"), f"doc_id {kind}, ids binary, body binary", each)
 
 
+def bytes_of(ids: bytes, vocabulary: Vocabulary) -> bytes:
+    """The pieces of packed ids, concatenated."""
+    numbers = array("I", ids)
+    if sys.byteorder != "little":
+        numbers.byteswap()
+    return b"".join(map(_pieces(vocabulary).__getitem__, numbers))
+
+
 @lru_cache(maxsize=2)
 def _pieces(vocabulary: Vocabulary) -> list[bytes]:
     table = vocabulary.table()

@@ -100,6 +100,29 @@ def test_window_names_are_the_same_for_long_and_short_sums():
     assert len(hashing.window_names(names[:4], 5)) == 0
 
 
+def thue_morse(many, zero, one):
+    """The first of ``many`` places of a sequence whose two forms defeat polynomial hashes."""
+    return [one if bin(at).count("1") % 2 else zero for at in range(many)]
+
+
+def test_structured_words_and_windows_have_names_of_their_own():
+    words = ["".join(thue_morse(1024, *ends)).encode() for ends in ("ab", "ba")]
+    assert len(set(hashing.word_names(words)[0].tolist())) == 2
+    names = hashing.word_names([b"x y"])[0]
+    for size in (4, 35, 64, 1024):
+        both = [np.array(thue_morse(size, *ends)) for ends in ((names[0], names[1]), (names[1], names[0]))]
+        assert hashing.window_names(both[0], size)[0] != hashing.window_names(both[1], size)[0]
+
+
+def test_long_words_of_few_letters_are_told_apart(spark):
+    """Two words of 1,024 letters in Thue-Morse order, one with its letters swapped."""
+    one, two = ("".join(thue_morse(1024, *ends)) for ends in ("ab", "ba"))
+    rows = [(1, " ".join([one] + [f"w{i}" for i in range(4)])), (2, " ".join([two] + [f"w{i}" for i in range(4)]))]
+    assert sorted_rows(jaccard_join.jaccard_components(table(spark, rows)), "doc_id", "component_id") == [(1, 1), (2, 2)]
+    rows = [(doc, " ".join([f"w{i}" for i in range(17)] + [word] + [f"v{i}" for i in range(17)])) for doc, word in ((1, one), (2, two))]
+    assert sorted_rows(substring_dedup.dedup(table(spark, rows)), "doc_id", "n_removed") == [(1, 0), (2, 0)]
+
+
 def test_host_rules(docs, none):
     got = host_rules.apply_host_rules(docs)
     rows = {(row["doc_id"], row["n_words"]): row for row in got.collect()}
@@ -160,9 +183,62 @@ def test_byte_bpe(docs, none):
             for doc, text in ROWS if doc != 9
         ]
         assert sorted(map(repr, ((d, bytes(i), bytes(b)) for d, i, b in got))) == sorted(map(repr, want))
+    both = sorted_rows(byte_bpe.encode(texts, ranks, 3, decoded=True), "doc_id", "ids", "body")
+    assert sorted(map(repr, ((d, bytes(i), bytes(b)) for d, i, b in both))) == sorted(map(repr, want))
     assert byte_bpe.encode(none, ranks).count() == 0
 
 
+def test_words_of_any_length():
+    """Both ways to merge a word, against the library; a very long word takes no square of its length."""
+    import time
+
+    import tiktoken
+
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    tokens = ranks.table()
+    library = tiktoken.Encoding("t", pat_str=ranks.pattern, mergeable_ranks=tokens, special_tokens={})
+    random = np.random.default_rng(3)
+    for size in (1, 2, 3, 9, 40, 400):
+        for letters in ("a", "ab", "etaoinshrdlu", "ñé你b"):
+            word = "".join(random.choice(list(letters), size))
+            if word.encode() not in tokens:
+                for merge in (byte_bpe.merge_short, byte_bpe.merge_long, byte_bpe.merge_bytes):
+                    assert merge(word.encode(), tokens) == library._encode_single_piece(word.encode())
+    seconds = []
+    for size in (10_000, 100_000):
+        word = "".join(random.choice(list("abcdefgh"), size)).encode()
+        began = time.perf_counter()
+        ids = byte_bpe.merge_bytes(word, tokens)
+        seconds.append(time.perf_counter() - began)
+        assert b"".join(library.decode_single_token_bytes(i) for i in ids) == word
+    assert ids == library._encode_single_piece(word) and seconds[1] < 40 * max(seconds[0], 0.01)
+
+
+def test_fold_of_long_words(spark):
+    import tiktoken
+    from pyspark.sql import functions as F
+
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    library = tiktoken.Encoding("t", pat_str=ranks.pattern, mergeable_ranks=ranks.table(), special_tokens={})
+    words = ["x" * 47, "abab" * 200, "", "ñandú" * 9, "q"]
+    got = spark.createDataFrame([(word,) for word in words], "word string").select(
+        "word", byte_bpe.fold_merges(F.col("word"), ranks).alias("ids")
+    ).collect()
+    assert {row["word"]: row["ids"] for row in got} == {word: library.encode_ordinary(word) if len(word) < 2 else library._encode_single_piece(word.encode()) for word in words}
+
+
+def test_pairs_are_found_at_one_of_two_places():
+    tokens = vocabulary("byte_bpe_multi_50k.tiktoken").table()
+    slots = byte_bpe.pair_slots(tokens)
+    some = [token for token in list(tokens)[300:20_000:37]]
+    for token in some:
+        for at in range(1, len(token)):
+            pair = (tokens.get(token[:at]), tokens.get(token[at:]))
+            if None not in pair:
+                number = (pair[0] << byte_bpe.ID_BITS | pair[1]) << byte_bpe.ID_BITS | tokens[token]
+                assert number in [slots[byte_bpe._place(pair, which, len(slots))] for which in (0, 1)]
+
+
 def test_parts_and_words_are_those_of_the_library():
     """Texts of odd blanks and letters, cut as the library cuts them."""
     import tiktoken
@@ -249,6 +325,27 @@ def test_licenses_by_notice_and_body(spark):
     assert 8 not in found
 
 
+def test_second_run_scans_nothing(spark, docs):
+    """The ledger of a checkpoint folder is one for all runs: a second one adds no entry."""
+    first = sorted_rows(secrets.scan_versions(docs, secrets.shared_ledger(spark)), "path", "findings")
+    entries = secrets.open_ledger(spark, secrets.shared_ledger(spark)).count()
+    again = sorted_rows(secrets.scan_versions(docs.repartition(2), secrets.shared_ledger(spark)), "path", "findings")
+    assert again == first and entries > 0
+    assert secrets.open_ledger(spark, secrets.shared_ledger(spark)).count() == entries
+
+
+def test_quotations_are_between_their_marks():
+    cited = lambda text: [text[first : last + 1] for first, last in toxicity.quotations(text)]
+    assert cited("i don’t like you idiot, it’s the dogs’ toy") == []
+    assert cited('he wrote "you idiot" and left') == ['"you idiot"']
+    assert cited("“a” „b“ „c” «d» ‘it’s e’ “f") == ["“a”", "„b“", "„c”", "«d»", "‘it’s e’"]
+    assert cited('one " line\nanother " line') == [] and cited("") == [] and cited("’") == []
+    terms = [toxicity.Term("idiot", False)]
+    quoted = lambda text: toxicity.Matcher(terms).facts(text)[8]
+    assert quoted("i don’t like you idiot") == quoted("i do not like you idiot") == 0.0
+    assert quoted("“you idiot”, he shouted") == 1.0 and quoted("“oh”, you idiot") == 0.0
+
+
 def test_secret_ledger(spark, docs, none):
     ledger = scratch_path(spark, "ledger-test")
     found = secrets.scan_versions(docs, ledger)

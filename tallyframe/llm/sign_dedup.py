@@ -20,7 +20,7 @@ far more rarely. No bucket, partner or candidate is left out.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -103,13 +103,13 @@ def joined(near: np.ndarray) -> np.ndarray:
         label = low
 
 
-def by_bucket(rows: DataFrame, columns: str, each: Callable) -> DataFrame:
+def by_bucket(rows: DataFrame, columns: str, each: Callable, bucket: Sequence[str] = BUCKET) -> DataFrame:
     """``each`` of all rows of a bucket together; buckets are bounded, and so is what a task holds.
 
     ``each`` takes a table with the rows of one bucket and returns a list of arrays, or None.
     Rows are sorted by bucket inside their partition and read batch by batch.
     """
-    dealt = rows.repartition(*BUCKET).sortWithinPartitions(*BUCKET)
+    dealt = rows.repartition(*bucket).sortWithinPartitions(*bucket)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: list[pa.RecordBatch] = []
@@ -117,7 +117,7 @@ def by_bucket(rows: DataFrame, columns: str, each: Callable) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys = np.stack([batch.column(name).to_numpy() for name in BUCKET], axis=1)
+            keys = np.stack([batch.column(name).to_numpy() for name in bucket], axis=1)
             edges = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
             out = []
             if last is not None and (keys[0] != last).any():

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyframe.llm.common import map_batches, plain
+from tallyframe.sources import use_checkpoint_dir
 
 FINDINGS = T.ArrayType(
     T.StructType(
@@ -88,6 +89,11 @@ def content_addresses(versions: DataFrame, path: str, text: str) -> DataFrame:
     )
 
 
+def shared_ledger(spark: SparkSession) -> str:
+    """The ledger of all runs that share a checkpoint folder: what one has scanned, the next does not scan."""
+    return f"{use_checkpoint_dir(spark).rstrip('/')}/secret-ledger"
+
+
 def open_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     """The ledger's rows; an empty frame where no segment was written yet."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(ledger)

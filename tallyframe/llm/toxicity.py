@@ -31,7 +31,9 @@ TERMS = 300
 CONTEXT = 8
 MEMO_WORDS = 300_000
 WORD = re.compile(r"[^\W_]+")
-QUOTES = set("\"“”„«»‘’")
+#: Quotation marks, each with the mark that ends what it opens.
+CLOSED_BY = {'"': '"', "“": "”", "„": "“", "«": "»", "‘": "’"}
+MARKS = re.compile("[\"“”„«»‘’\n]")
 #: Words that often go with a quotation, and words of address.
 REPORTING = frozenset("said says wrote writes quoted quote called word term sagte schrieb dit écrit dijo escribió".split())
 ADDRESS = frozenset("you your youre u du dich dein ihr tu toi vous te usted tú".split())
@@ -223,6 +225,29 @@ class Model:
     weights: np.ndarray
 
 
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Where the stretches between an opening quotation mark and its closing one in a line are.
+
+    A mark between two letters or digits is an apostrophe.
+    """
+    found: list[tuple[int, int]] = []
+    opened: dict[str, int] = {}
+    for match in MARKS.finditer(text):
+        mark, at = match.group(), match.start()
+        if mark == "\n":
+            opened.clear()
+        elif mark == "’" and text[at - 1 : at].isalnum() and text[at + 1 : at + 2].isalnum():
+            continue
+        else:
+            # A low opening mark is closed by either of the high ones.
+            closes = mark if mark in opened else "“" if mark == "”" and "“" in opened else None
+            if closes:
+                found.append((opened.pop(closes), at))
+            elif mark in CLOSED_BY:
+                opened[CLOSED_BY[mark]] = at
+    return found
+
+
 class Matcher:
     """Hits of a text, with a memo of words of bounded size."""
 
@@ -251,11 +276,12 @@ class Matcher:
         exact = near = quoted = abusive = 0.0
         if hits:
             spans = [match.span() for match in WORD.finditer(text.lower())]
+            cited = quotations(text.lower())
             for at, (_, same) in hits:
                 low, high = max(0, at - CONTEXT), min(len(words), at + CONTEXT + 1)
                 around = words[low:at] + words[at + 1 : high]
-                stretch = text.lower()[spans[low][0] : spans[high - 1][1]]
-                signs = bool(QUOTES & set(stretch)) + bool(REPORTING.intersection(around))
+                inside = any(first < spans[at][0] < last for first, last in cited)
+                signs = inside + bool(REPORTING.intersection(around))
                 quoted += signs
                 abusive += bool(ADDRESS.intersection(around))
                 if same:

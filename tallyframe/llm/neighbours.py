@@ -103,8 +103,10 @@ def tile(queries: tuple[np.ndarray, ...], rows: tuple[np.ndarray, ...], k: int)
     """The at most ``k`` best ``(query, row, score)`` of each query in one tile."""
     q_ids, q_kept, q_scales, q_errors, q_norms, q_vectors = queries
     r_ids, r_kept, r_scales, r_errors, r_norms, r_vectors = rows
-    # Sums of products of int8 values are whole numbers; doubles hold them exactly.
-    estimate = (q_kept.astype(np.float64) @ r_kept.T.astype(np.float64)) * q_scales[:, None] * r_scales[None, :]
+    # Sums of products of int8 values are whole numbers, which float32 holds exactly up to 2^24.
+    exact = np.float32 if q_kept.shape[1] * 127 * 127 < 1 << 24 else np.float64
+    products = (q_kept.astype(exact) @ r_kept.T.astype(exact)).astype(np.float64)
+    estimate = products * q_scales[:, None] * r_scales[None, :]
     # q.r = (Q + e)(R + f): the rest is at most |e| |r| + (|q| + |e|) |f|, and rounding.
     bound = q_errors[:, None] * r_norms[None, :] + (q_norms + q_errors)[:, None] * r_errors[None, :]
     bound += 1e-12 * (q_norms[:, None] * r_norms[None, :]) + np.finfo(np.float64).tiny

@@ -13,7 +13,6 @@ from tallyframe.llm import (
 )
 from tallyframe.llm.common import read_table
 from tallyframe.llm.vocabulary import Vocabulary
-from tallyframe.sources import scratch_path
 
 
 def vocabulary(name: str) -> Vocabulary:
@@ -78,7 +77,7 @@ def op3_line_field(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
-    return byte_bpe.decode(byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks), ranks).select(
+    return byte_bpe.encode(read_table(spark, sf_dir, "documents"), ranks, decoded=True).select(
         "doc_id",
         F.expr("octet_length(ids) div 4").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"),
@@ -117,7 +116,7 @@ FROM r WHERE shared >= needed GROUP BY doc_id, license
 
 
 def op6_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = secrets.scan_versions(read_table(spark, sf_dir, "documents"), scratch_path(spark, "secret-ledger"))
+    found = secrets.scan_versions(read_table(spark, sf_dir, "documents"), secrets.shared_ledger(spark))
     count = lambda kind: F.size(F.filter("findings", lambda f: f["kind"] == kind)).cast("long").alias(f"n_{kind}")
     text = F.array_join(F.transform("findings", lambda f: F.concat_ws(":", f["kind"], f["start"], f["end"])), ",")
     return found.select(

@@ -3,19 +3,23 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import combinations_with_replacement
 
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.functions.columns import named, numeric_columns, sql_name
+from tallyframe.functions.columns import named, numeric_columns, sql_name, sql_text
 from tallyframe.functions.statistics import pairwise_corr_sql, varies_sql
 from tallyframe.operators.gram import correlation_rows
 from tallyframe.operators.profiling import drop_null_rows, per_column
 from tallyframe.sources.scratch import scratch_path
 from tallyframe.sources.tables import preview
 
+# So many columns have at most 55 pairs, which generated code takes in one aggregate.
+AGGREGATED_COLUMNS = 10
+
 
 def target_corr(
     df: DataFrame,
@@ -50,26 +54,46 @@ def top_corr(correlations: DataFrame, n: int = 30) -> DataFrame:
 
 
 def corr_matrix(
-    df: DataFrame, columns: Sequence[str] | None = None, method: str = "blocks"
+    df: DataFrame, columns: Sequence[str] | None = None, method: str | None = None
 ) -> DataFrame:
     """Correlation of all pairs as ``feature_i, feature_j, corr``, both orders.
 
     Rows with a NULL or NaN among the columns are left out. Pairs with a constant column
-    are NULL, and so are all pairs of an empty table. Any number of columns is a blocked
-    matrix product in the tasks, whose blocks are merged and never come to the driver.
-    ``method='mllib'`` asks for MLlib's matrix instead, which runs jobs at once and is collected.
+    are NULL, and so are all pairs of an empty table. The pairs of up to ten columns are one
+    aggregate; more columns are a blocked matrix product in the tasks, whose blocks are merged
+    and never come to the driver. ``method`` asks for one of these (``'aggregate'``, ``'blocks'``),
+    or for MLlib's matrix (``'mllib'``), which runs jobs at once and is collected.
     """
     columns = list(columns or numeric_columns(df))
     rows = drop_null_rows(
         df.select(*[named(name).cast("double").alias(name) for name in columns])
     )
-    if method == "blocks":
+    if method == "aggregate" or (method is None and len(columns) <= AGGREGATED_COLUMNS):
+        return _matrix_by_aggregate(rows, columns)
+    if method in ("blocks", None):
         return correlation_rows(rows, columns)
     if method == "mllib":
         return _matrix_by_mllib(rows, columns)
     raise ValueError(f"unknown method {method!r}")
 
 
+def _matrix_by_aggregate(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Covariances and deviations of all pairs in one pass, for a few columns."""
+    if len(columns) > AGGREGATED_COLUMNS:
+        raise ValueError(f"one aggregate takes at most {AGGREGATED_COLUMNS} columns")
+    aggregates = [
+        f"if({varies_sql(sql_name(name))}, stddev_samp({sql_name(name)}), NULL) AS s{at}" for at, name in enumerate(columns)
+    ]
+    cells = []
+    for (i, first), (j, second) in combinations_with_replacement(enumerate(columns), 2):
+        value = f"if(s{i} > 0, 1.0D, NULL)" if i == j else f"try_divide(v{i}_{j}, s{i} * s{j})"
+        if i != j:
+            aggregates.append(f"covar_samp({sql_name(first)}, {sql_name(second)}) AS v{i}_{j}")
+        for one, two in dict.fromkeys([(first, second), (second, first)]):
+            cells.append(f"struct({sql_text(one)} AS feature_i, {sql_text(two)} AS feature_j, {value} AS corr)")
+    return rows.selectExpr(*aggregates).selectExpr(f"inline(array({', '.join(cells)}))")
+
+
 def _matrix_by_mllib(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     if rows.isEmpty():
         return correlation_rows(rows, columns)

@@ -46,7 +46,7 @@ def test_top_breaks_ties_by_name(spark):
     assert [r.feature for r in tf.top_corr(tf.target_corr(df, "y"), 2).collect()] == ["b", "c"]
 
 
-@pytest.mark.parametrize("method", ["blocks", "mllib"])
+@pytest.mark.parametrize("method", ["aggregate", "blocks", "mllib"])
 def test_matrix(spark, method):
     rng = np.random.default_rng(4)
     data = rng.normal(size=(200, 3))
@@ -179,6 +179,18 @@ def test_matrix_of_300_columns_in_blocks_and_groups(spark):
 def test_matrix_shuffles_blocks_not_rows(spark):
     """The exchanges carry packed blocks; no exchange has a column of the table."""
     df = spark.range(1000).selectExpr("double(id) AS a", "double(id % 7) AS b")
-    plan = tf.corr_matrix(df, ["a", "b"])._jdf.queryExecution().executedPlan().toString()
+    plan = tf.corr_matrix(df, ["a", "b"], "blocks")._jdf.queryExecution().executedPlan().toString()
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert exchanges and all("hashpartitioning(i#" in line for line in exchanges)
+
+
+@pytest.mark.parametrize("width", [1, 2, 10, 11])
+def test_both_forms_of_the_matrix_agree(spark, width):
+    df = spark.range(80).selectExpr(*[f"double((id * {at + 3}) % {at + 11}) AS c{at}" for at in range(width)])
+    blocks = {(r.feature_i, r.feature_j): r.corr for r in tf.corr_matrix(df, method="blocks").collect()}
+    own = tf.corr_matrix(df)
+    assert ("InArrow" in own._jdf.queryExecution().executedPlan().toString()) == (width > 10)
+    assert {(r.feature_i, r.feature_j): pytest.approx(r.corr, abs=1e-12) for r in own.collect()} == blocks and len(blocks) == width**2
+    if width > 10:
+        with pytest.raises(ValueError):
+            tf.corr_matrix(df, method="aggregate")

@@ -193,6 +193,30 @@ def test_tails(spark):
         assert len(got[doc].split()) == doc % 70
 
 
+# Families of near copies, for the Jaccard join
+
+
+def test_jaccard_of_families(spark, monkeypatch):
+    """Copies around a centre that are not similar to one another, in groups larger than a part."""
+    from tallyframe.llm import jaccard_join
+
+    monkeypatch.setattr(jaccard_join, "PART", 32)
+    monkeypatch.setattr(jaccard_join, "FEW", 10)
+    random = np.random.default_rng(5)
+    rows = []
+    for family, (size, edits) in enumerate(((150, 4), (90, 12), (30, 1))):
+        base = [f"f{family}w{at}" for at in range(160)]
+        for _ in range(size):
+            words = list(base)
+            for at in random.integers(0, 160, int(random.integers(0, edits + 1))):
+                words[at] = f"x{random.integers(1 << 40)}"
+            rows.append((len(rows), " ".join(words)))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in jaccard_join.jaccard_components(df).collect()}
+    want = plainly.components(rows)
+    assert got == want and 3 < len({component for _, component in want.values()}) < 100
+
+
 # Lexical search
 
 DOCS = "doc_id long, text string, score long, terms int"

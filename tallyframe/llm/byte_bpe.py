@@ -237,12 +237,27 @@ def _with(value: Column, use) -> Column:
     return F.element_at(F.transform(F.array(value), use), 1)
 
 
+#: What a splitting pattern says where a blank and letters, or letters alone, are one word.
+LETTERS_ARE_A_WORD = r" ?\p{L}+"
+
+
 @lru_cache(maxsize=2)
 def splitter(pattern: str):
-    """A function from a text to its words."""
+    """A function from a part of a text to its words.
+
+    A blank and letters are one word by most patterns; where the pattern says so, such a part,
+    the usual one, is not searched.
+    """
     import regex
 
-    return regex.compile(pattern, regex.V0).findall
+    search = regex.compile(pattern, regex.V0).findall
+    if LETTERS_ARE_A_WORD not in pattern:
+        return search
+
+    def cut(part: str) -> list[str]:
+        return [part] if part[:1] == " " and part[1:].isalpha() else search(part)
+
+    return cut
 
 
 def count_words(texts: DataFrame, vocabulary) -> DataFrame:
@@ -261,7 +276,7 @@ def count_words(texts: DataFrame, vocabulary) -> DataFrame:
         kept = [(word, many) for word, many in words.items() if word.encode("utf-8", "surrogatepass") not in tokens]
         return {"word": [word for word, _ in kept], "many": [many for _, many in kept]}
 
-    return map_batches(texts.select("text"), "word string, many long", each, rows=1024).groupBy("word").agg(F.sum("many").alias("many"))
+    return map_batches(texts.select("text"), "word string, many long", each, rows=3072).groupBy("word").agg(F.sum("many").alias("many"))
 
 
 def frequent_words(spark: SparkSession, counts: DataFrame, most: int = TABLE_WORDS) -> DataFrame:

@@ -100,6 +100,8 @@ def map_batches(
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(made[field.name], type=field.type) for field in target], schema=target
                 )
+        # The worker goes on to other tasks; what this one held is not kept for them.
+        pa.default_memory_pool().release_unused()
 
     return map_arrow(df, run, schema)
 

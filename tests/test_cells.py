@@ -92,6 +92,18 @@ def test_few_rows_of_many_kinds_are_fitted_as_rows(spark):
     assert tf.fit_classifier("gbt", rows, maxIter=1, minInstancesPerNode=5).numFeatures == 2
 
 
+def test_spread_tasks_do_not_grow_with_the_table(spark, monkeypatch):
+    from tallyframe.plans import modelling
+
+    monkeypatch.setattr(modelling, "ROWS_A_TASK", 50)
+    rows = spark.range(0, 2000, 1, 10)
+    spread = modelling.spread_rows(rows, "id")
+    sizes = spread.groupBy(F.spark_partition_id()).count().agg(F.max("count"), F.sum("count")).first()
+    assert spread.rdd.getNumPartitions() == 40 and sizes[0] < 2 * 50 and sizes[1] == 2000
+    monkeypatch.setattr(modelling, "ROWS_A_TASK", 100_000)
+    assert modelling.spread_rows(rows, "id").rdd.getNumPartitions() == 10
+
+
 def test_cut_points_and_counts():
     values = np.array([1.0, 2.0, 4.0, 8.0])
     assert cut_values(values, np.ones(4), 4) == [1.5, 3.0, 6.0]

@@ -85,6 +85,13 @@ def test_a_fold_without_rows_is_refused(data):
         tf.tune("decision_tree", data, {"maxBins": [6]}, "indexedFeatures", fold="fold", folds=2)
 
 
+@pytest.mark.parametrize("label", [None, 0.5, -1.0])
+def test_a_label_that_is_no_class_is_refused(data, label):
+    wrong = F.when(F.col("id") == 7, F.lit(label).cast("double")).otherwise(F.col("label").cast("double"))
+    with pytest.raises(Exception, match="whole numbers"):
+        tf.fit_classifier("gbt", data.withColumn("label", wrong), "indexedFeatures", maxIter=1)
+
+
 def test_few_rows_of_many_kinds_are_fitted_as_rows(spark):
     lines = [(float(i), float(i * 7 % 41), int(i % 3 == 0)) for i in range(40)]
     rows = tf.assemble(spark.createDataFrame(lines, "a double, b double, label int"), ["a", "b"])

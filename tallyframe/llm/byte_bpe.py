@@ -8,9 +8,10 @@ whole numbers in which a pair stands at one of two places.
 
 The merged words, as many as fit a stated number, go to all tasks as one Arrow table. A task
 looks up the distinct words of a batch there. Words that are not in it, nearly all of them
-such as occur once or twice, are merged in the task by the same rule on a heap, whose
-steps grow with the length of a word and not with its square. So nothing but the bounded
-table is broadcast, and no text is shuffled.
+such as occur once or twice, are merged in the task by the same rule: short ones side by
+side, a step of all of them at once, and long ones on a heap, whose steps grow with the
+length of a word and not with its square. So nothing but the bounded table is broadcast, and
+no text is shuffled.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from collections.abc import Iterator
 from contextlib import contextmanager
 from functools import lru_cache
 
+import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -189,6 +191,67 @@ def merge_short(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return [ranks[piece] for piece in pieces]
 
 
+def merge_together(words: list[bytes], vocabulary: Vocabulary) -> list[bytes]:
+    """The packed ids of words that are no tokens, merged side by side.
+
+    A step joins in every word the first of its pairs of lowest rank; words without such a pair are
+    done and leave. Long words, and all words where not every byte is a token, are merged by themselves.
+    """
+    ranks = tokens_of(vocabulary)
+    singles, keys, made = _pair_arrays(vocabulary)
+    alone = [at for at, word in enumerate(words) if singles is None or len(word) > SHORT]
+    own = {at: packed(merge_bytes(words[at], ranks)) for at in alone}
+    short = [word for at, word in enumerate(words) if at not in own] if own else words
+    sizes = np.fromiter(map(len, short), np.int64, len(short))
+    if not sizes.sum():
+        return [own.get(at, b"") for at in range(len(words))]
+
+    def ranks_of(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        pairs = (left << 32) | right
+        at = np.minimum(np.searchsorted(keys, pairs), len(keys) - 1)
+        return np.where(keys[at] == pairs, made[at], NO_RANK)
+
+    pieces = singles[np.frombuffer(b"".join(short), np.uint8)]
+    word = np.repeat(np.arange(len(short)), sizes)
+    # The rank of each piece with the next one; the last piece of a word has none.
+    pairs = np.full(len(pieces), NO_RANK)
+    inner = np.flatnonzero(word[1:] == word[:-1])
+    pairs[inner] = ranks_of(pieces[inner], pieces[inner + 1])
+    done: list[tuple[np.ndarray, np.ndarray]] = []
+    while len(pieces):
+        starts = np.flatnonzero(np.concatenate(([True], word[1:] != word[:-1])))
+        low = np.minimum.reduceat(pairs, starts)
+        many = np.diff(np.append(starts, len(pieces)))
+        lowest = np.repeat(low, many)
+        if (low == NO_RANK).any():
+            left = lowest != NO_RANK
+            done.append((word[~left], pieces[~left]))
+            pieces, word, pairs, lowest = pieces[left], word[left], pairs[left], lowest[left]
+            if not len(pieces):
+                break
+        found = np.flatnonzero(pairs == lowest)
+        first = found[np.concatenate(([True], word[found[1:]] != word[found[:-1]]))]
+        pieces[first] = lowest[first]
+        pairs[first] = NO_RANK
+        after = first[np.minimum(first + 2, len(word) - 1) == first + 2]
+        after = after[word[after + 2] == word[after]]
+        pairs[after] = ranks_of(pieces[after], pieces[after + 2])
+        before = first[first > 0]
+        before = before[word[before - 1] == word[before]]
+        pairs[before - 1] = ranks_of(pieces[before - 1], pieces[before])
+        kept = np.ones(len(pieces), bool)
+        kept[first + 1] = False
+        pieces, word, pairs = pieces[kept], word[kept], pairs[kept]
+    word, pieces = (np.concatenate(parts) for parts in zip(*done))
+    ids = pieces[np.argsort(word, kind="stable")].astype("<u4").tobytes()
+    ends = (4 * np.cumsum(np.bincount(word, minlength=len(short)))).tolist()
+    merged = [ids[start:end] for start, end in zip([0, *ends[:-1]], ends)]
+    if not own:
+        return merged
+    rest = iter(merged)
+    return [own[at] if at in own else next(rest) for at in range(len(words))]
+
+
 def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     """Pairs wait in a heap by rank and place; one that has lost a piece meanwhile is passed over."""
     size = len(word)
@@ -344,7 +407,7 @@ class Encoder:
     """Ids of texts in a task, with a memo of parts made up of frequent words."""
 
     def __init__(self, vocabulary: Vocabulary, merged: pa.Table):
-        self.tokens, self.cut, self.merged = tokens_of(vocabulary), splitter(vocabulary.pattern), merged
+        self.vocabulary, self.cut, self.merged = vocabulary, splitter(vocabulary.pattern), merged
         self.memo: dict[str, bytes] = {}
 
     def encode(self, texts: list[str | None]) -> list[bytes]:
@@ -354,7 +417,7 @@ class Encoder:
             memo.clear()
         split = [parts_of(text) if text else [] for text in texts]
         cuts = {piece: self.cut(piece) for piece in {piece for pieces in split for piece in pieces if piece not in memo}}
-        known, rare = word_ids({word for words in cuts.values() for word in words}, self.tokens, self.merged)
+        known, rare = word_ids({word for words in cuts.values() for word in words}, self.vocabulary, self.merged)
         here: dict[str, bytes] = {}
         for piece, words in cuts.items():
             # Parts with a rare word are not likely to come again.
@@ -376,8 +439,9 @@ def short_plans(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
-def word_ids(words: set[str], tokens: dict[bytes, int], merged: pa.Table) -> tuple[dict[str, bytes], set[str]]:
+def word_ids(words: set[str], vocabulary: Vocabulary, merged: pa.Table) -> tuple[dict[str, bytes], set[str]]:
     """The packed ids of distinct words, and which are neither tokens nor in the table but merged here."""
+    tokens = tokens_of(vocabulary)
     out, others, rare = {}, [], set()
     for word in words:
         own = tokens.get(word.encode("utf-8", "surrogatepass"))
@@ -389,8 +453,10 @@ def word_ids(words: set[str], tokens: dict[bytes, int], merged: pa.Table) -> tup
     for word, ids in zip(others, pc.take(merged["ids"], places).to_pylist()):
         if ids is None:
             rare.add(word)
-            ids = packed(merge_bytes(word.encode("utf-8", "surrogatepass"), tokens))
-        out[word] = ids
+        else:
+            out[word] = ids
+    unknown = list(rare)
+    out.update(zip(unknown, merge_together([word.encode("utf-8", "surrogatepass") for word in unknown], vocabulary)))
     return out, rare
 
 
@@ -414,6 +480,22 @@ def tokens_of(vocabulary: Vocabulary) -> dict[bytes, int]:
     return vocabulary.table()
 
 
+@lru_cache(maxsize=2)
+def _pair_arrays(vocabulary: Vocabulary) -> tuple[np.ndarray | None, np.ndarray, np.ndarray]:
+    """The id of each byte (None if one has none), and sorted numbers of the pairs that make a token, with its id."""
+    ranks = tokens_of(vocabulary)
+    singles = [ranks.get(bytes([byte])) for byte in range(256)]
+    pairs = sorted(
+        ((ranks[token[:at]] << 32) | ranks[token[at:]], rank)
+        for token, rank in ranks.items()
+        for at in range(1, len(token))
+        if token[:at] in ranks and token[at:] in ranks
+    )
+    # A pair that no two ids make stands for an empty table.
+    keys, made = np.array(pairs or [(-1, 0)], np.int64).T.copy()
+    return None if None in singles else np.array(singles, np.int64), keys, made
+
+
 def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """``doc_id, ids, body``: the binary pieces of the ids, concatenated."""
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)

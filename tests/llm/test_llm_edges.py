@@ -1,5 +1,6 @@
 """Nulls, empty and long texts, ties, repeated rows, empty tables and clashing columns."""
 
+import base64
 import sys
 from pathlib import Path
 
@@ -214,6 +215,32 @@ def test_words_of_any_length():
     assert ids == library._encode_single_piece(word) and seconds[1] < 40 * max(seconds[0], 0.01)
 
 
+def test_words_merged_side_by_side():
+    """Many words at once give what each gives by itself, also where a vocabulary is tiny or lacks a byte."""
+    random = np.random.default_rng(8)
+    words = [
+        "".join(random.choice(list(letters), size)).encode()
+        for letters in ("a", "ab", "etaoinshrdlu", "ñé你b") for size in (1, 2, 3, 5, 9, 9, 17, 64, 65, 90)
+    ]
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+
+    def made_of(table: dict[bytes, int]) -> vocab.Vocabulary:
+        lines = [base64.b64encode(token) + b" " + str(rank).encode() for token, rank in table.items()]
+        return vocab.Vocabulary(b"\n".join(lines), ranks.pattern)
+
+    letters = {bytes([byte]): byte for byte in range(256)}
+    lacking = {token: rank for token, rank in ranks.table().items() if token != b"\x00"}
+    # A joined pair may make one of lower rank than its own, so steps are not taken together.
+    turned = letters | {b"ab": 300, b"aba": 299, b"abab": 298, b"ba": 301}
+    for known in (ranks, made_of(letters), made_of(lacking), made_of(turned)):
+        tokens = known.table()
+        want = [vocab.packed(byte_bpe.merge_bytes(word, tokens)) for word in words]
+        for order in (words, words[::-1], words[:1]):
+            chosen = dict(zip(words, want))
+            assert byte_bpe.merge_together(order, known) == [chosen[word] for word in order]
+    assert byte_bpe.merge_together([], ranks) == []
+
+
 def test_fold_of_long_words(spark):
     import tiktoken
     from pyspark.sql import functions as F

@@ -12,7 +12,7 @@ sys.path.insert(0, str(Path(__file__).parent))
 import corpus_pipeline  # noqa: E402
 import plainly  # noqa: E402
 from tallyframe.llm import (  # noqa: E402
-    byte_bpe, hashing, host_rules, jaccard_join, licenses, neighbours, packing, quality, secrets,
+    byte_bpe, common, hashing, host_rules, jaccard_join, licenses, neighbours, packing, quality, secrets,
     substring_dedup, toxicity, vocabulary as vocab,
 )
 from tallyframe.llm.components import components  # noqa: E402
@@ -215,6 +215,20 @@ def test_words_of_any_length():
     assert ids == library._encode_single_piece(word) and seconds[1] < 40 * max(seconds[0], 0.01)
 
 
+def test_batches_of_the_join_are_small(spark):
+    """Inside, Arrow batches have few rows; a set is given once by a task however many batches it comes in."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    with common.smaller_batches(spark, 3):
+        assert spark.conf.get(name) == "3"
+        with common.smaller_batches(spark, 100):
+            assert spark.conf.get(name) == "3"
+        rows = spark.createDataFrame([(PROSE,)] * 20, "text string").coalesce(1)
+        got = jaccard_join.signature_rows(rows, np.zeros(0, np.uint64)).collect()
+    assert spark.conf.get(name) == before
+    assert got and len(got) == len(set(got))
+
+
 def test_words_merged_side_by_side():
     """Many words at once give what each gives by itself, also where a vocabulary is tiny or lacks a byte."""
     random = np.random.default_rng(8)

@@ -8,9 +8,10 @@ candidate. Runs and templates have the same number of words, so a run that holds
 misses all of ``b`` functions with a probability of at most 0.4^b. Candidates are verified by
 counting shared shingles.
 
-Before that, windows go that hold none of a template's anchors: words without which fewer
-than 75 % of its shingles could be there. This loses nothing and is a plain filter on
-the text, so texts without a license cost a scan. All of it is DataFrame functions.
+Before that, texts and windows go that hold none of a template's anchors: words without which
+fewer than 75 % of its shingles could be there. This loses nothing. A text is cut in words and
+these are looked up among all anchors at once, so texts without a license cost a scan. All of it is
+DataFrame functions.
 """
 
 from __future__ import annotations
@@ -170,14 +171,9 @@ def find_licenses(
         size: F.array(*map(F.lit, sorted({word for t in templates if len(t.words) == size for word in t.anchors()})))
         for size in sorted({len(t.words) for t in templates})
     }
-    lowered = F.lower("text")
-    held = F.lit(False)
-    for word in anchors:
-        held = held | F.contains(lowered, F.lit(word))
     cut = (
-        documents.select("doc_id", "text").filter(held)
-        .select("doc_id", words_of_text(F.col("text")).alias("words"))
-        .filter(F.size("words") > 0)
+        documents.select("doc_id", words_of_text(F.col("text")).alias("words"))
+        .filter(F.arrays_overlap("words", F.array(*map(F.lit, anchors))))
         .select("doc_id", F.size("words").alias("n"), "words", F.explode(F.sequence(F.lit(0), F.size("words") - 1, F.lit(stride))).alias("at"))
         .select("doc_id", "n", "at", F.slice("words", F.col("at") + 1, F.lit(2 * stride)).alias("window"))
         .withColumn("sizes", F.array_compact(F.array(*[F.when(F.arrays_overlap("window", words), F.lit(size)) for size, words in by_length.items()])))

@@ -330,6 +330,12 @@ def test_license_anchors_lose_nothing():
     assert (1 - licenses.PERCENT / (200 - licenses.PERCENT)) ** licenses.bands_for() <= licenses.MISS
 
 
+def test_licenses_read_a_text_once_for_all_anchors(docs):
+    """Each mention of the lowered text in the plan is a pass over all texts."""
+    plan = licenses.find_licenses(docs)._jdf.queryExecution().optimizedPlan().toString().lower()
+    assert plan.count("contains(") + plan.count("lower(") == 0 and plan.count("arrays_overlap(words") <= 1
+
+
 def test_licenses_with_changed_words_and_long_texts(spark):
     notice = licenses.TEMPLATES["Apache-2.0-notice"]
     words = notice.split()

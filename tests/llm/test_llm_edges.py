@@ -561,6 +561,18 @@ def test_jaccard_of_families(spark, common, monkeypatch):
     assert got == plainly.components(rows)
 
 
+def test_blocks_of_a_large_group(spark):
+    """Rows grow with the members and not with their square; every pair across components still meets, once."""
+    facts = [(7, at, 9000 if at in (5, 6) else 9001 if at == 8 else 1, 3000) for at in range(3000)]
+    members = spark.createDataFrame(facts, "signature long, class long, label long, many long")
+    assert jaccard_join.blocks_of(members).count() == 3000 + 3 * 3
+    counts = jaccard_join.counts_of(np.arange(20, dtype=np.uint64))
+    classes = spark.createDataFrame([(at, 20, counts) for at in range(3000)], "class long, n_shingles long, counts binary")
+    got = jaccard_join.crossing_pairs(classes, members, True).collect()
+    want = {(min(a, b), max(a, b)) for a in (5, 6, 8) for b in range(3000) if facts[a][2] != facts[b][2]}
+    assert len(got) == len(want) and {(row["a"], row["b"]) for row in got} == want
+
+
 def test_similar_sets_always_share_a_signature(monkeypatch):
     """Sets at the very limit, in bands with far too few segments too."""
     random = np.random.default_rng(8)

@@ -573,6 +573,23 @@ def test_blocks_of_a_large_group(spark):
     assert len(got) == len(want) and {(row["a"], row["b"]) for row in got} == want
 
 
+def test_groups_of_two_are_compared_once(spark, monkeypatch):
+    """Only groups of three sets or more are opened again; those of two are compared whole by their one pair."""
+    rows = [(1, 10), (1, 11), (1, 10), (2, 10), (2, 11), (2, 12), (3, 13), (3, 13), (4, 15), (4, 14)]
+    found = jaccard_join.shared_groups(spark.createDataFrame(rows, "signature long, class long"))
+    want = [(1, 10, 10, False), (1, 11, 10, False), (2, 10, 10, True), (2, 11, 10, True), (2, 12, 10, True), (4, 14, 14, False), (4, 15, 14, False)]
+    assert sorted(map(tuple, found.collect())) == want
+    words = [f"w{at}" for at in range(60)]
+    texts = [" ".join(words), " ".join(words[:-1] + ["x"]), " ".join(words[:35] + [f"y{at}" for at in range(25)])]
+    opened, plain_open = [], jaccard_join.open_groups
+    monkeypatch.setattr(jaccard_join, "open_groups", lambda groups, links: opened.append(groups.count()) or plain_open(groups, links))
+    for many in (2, 3):
+        rows = list(enumerate(texts[:many]))
+        got = jaccard_join.jaccard_components(table(spark, rows)).collect()
+        assert {row["doc_id"]: (row["n_shingles"], row["component_id"]) for row in got} == plainly.components(rows)
+    assert opened[0] == 0
+
+
 def test_similar_sets_always_share_a_signature(monkeypatch):
     """Sets at the very limit, in bands with far too few segments too."""
     random = np.random.default_rng(8)

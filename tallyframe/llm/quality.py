@@ -16,7 +16,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import SPACES, held_out, map_batches, without
+from tallyframe.llm.common import SPACES, give_back, held_out, map_batches, without
 from tallyframe.llm.labelled import training_sample
 
 #: At most about so many labelled documents are fitted to.
@@ -159,7 +159,11 @@ def learn_quality(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE)
     rows = training_sample(documents, labels, "quality", sample).orderBy("doc_id").collect()
     if not rows:
         return Field(np.zeros(text_facts("")[0].shape[1]), np.zeros((2, 2)))
-    return fit_field([row["text"] for row in rows], [row["label"] for row in rows])
+    field = fit_field([row["text"] for row in rows], [row["label"] for row in rows])
+    # The driver goes on to other steps; what the fit held is not kept for them.
+    del rows
+    give_back()
+    return field
 
 
 def score_quality(documents: DataFrame, field: Field, least: float = 0.3) -> DataFrame:

@@ -5,6 +5,7 @@ import sys
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 sys.path.insert(0, str(Path(__file__).parent))
@@ -171,6 +172,15 @@ def test_chain_marginals_are_those_of_all_labellings():
     assert np.allclose(quality.Field(np.zeros(1), moves).marginals(scores), want)
 
 
+def test_the_driver_gives_memory_back_after_the_fit(spark, monkeypatch):
+    called = []
+    monkeypatch.setattr(quality, "give_back", lambda: called.append(1))
+    rows = table(spark, [(at, "good line\nof words" if at % 2 else "$$$ !!! ###") for at in range(20)])
+    quality.learn_quality(rows, spark.createDataFrame([(at, at % 2) for at in range(20)], "doc_id long, quality int"))
+    assert called == [1]
+    common.give_back()
+
+
 def test_byte_bpe(docs, none):
     import tiktoken
 

@@ -18,8 +18,6 @@ from __future__ import annotations
 
 import heapq
 import json
-import sys
-from array import array
 from collections import Counter
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -31,8 +29,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyframe.llm.common import map_arrow, map_batches, stage
-from tallyframe.llm.vocabulary import Vocabulary, packed, parts_of
+from tallyframe.llm.common import map_arrow, stage
+from tallyframe.llm.vocabulary import Vocabulary, packed
 
 #: Most words in the broadcast table, and the most bytes one of them may have.
 TABLE_WORDS = 400_000
@@ -326,20 +324,67 @@ def splitter(pattern: str):
 def count_words(texts: DataFrame, vocabulary) -> DataFrame:
     """``word, many`` over all texts, of words that are no tokens; counts are begun in each batch."""
 
-    def each(got: dict[str, list]) -> dict[str, list]:
-        tokens, cut = tokens_of(vocabulary.value), splitter(vocabulary.value.pattern)
-        parts: Counter = Counter()
-        for text in got["text"]:
-            if text:
-                parts.update(parts_of(text))
-        words: Counter = Counter()
-        for part, many in parts.items():
-            for word in cut(part):
-                words[word] += many
-        kept = [(word, many) for word, many in words.items() if word.encode("utf-8", "surrogatepass") not in tokens]
-        return {"word": [word for word, _ in kept], "many": [many for _, many in kept]}
+    schema = pa.schema([("word", pa.string()), ("many", pa.int64())])
 
-    return map_batches(texts.select("text"), "word string, many long", each, rows=3072).groupBy("word").agg(F.sum("many").alias("many"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, cut = tokens_of(vocabulary.value), splitter(vocabulary.value.pattern)
+        for batch in batches:
+            for first in range(0, batch.num_rows, 3072):
+                parts, places, _ = coded_parts(batch.column(0).slice(first, 3072))
+                words: Counter = Counter()
+                for part, many in zip(parts, np.bincount(places, minlength=len(parts)).tolist()):
+                    for word in cut(part) if many else ():
+                        words[word] += many
+                kept = [(word, many) for word, many in words.items() if word.encode("utf-8", "surrogatepass") not in tokens]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([word for word, _ in kept], pa.string()), pa.array([many for _, many in kept], pa.int64())], schema=schema
+                )
+        # The worker goes on to other tasks; what this one held is not kept for them.
+        pa.default_memory_pool().release_unused()
+
+    return map_arrow(texts.select("text"), run, "word string, many long").groupBy("word").agg(F.sum("many").alias("many"))
+
+
+def coded_parts(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """The distinct parts of texts, the place of every part of every text among them, and where each text begins.
+
+    Parts are those of ``parts_of``, but that empty ones may be among them. Texts are cut at all
+    blanks, and pieces that are empty or begin with white space are put back to those before them.
+    """
+    split = pc.split_pattern(pc.fill_null(texts, ""), " ")
+    starts = np.asarray(split.offsets, np.int64) - split.offsets[0].as_py()
+    coded = split.flatten().dictionary_encode()
+    pieces, at = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+    parts = [" " + piece for piece in pieces]
+    # The first piece of a text has no blank before it; every text has one.
+    heads = starts[:-1]
+    firsts, own = np.unique(at[heads], return_inverse=True)
+    goes_on = np.array([not piece or piece[0].isspace() for piece in pieces], bool)[at]
+    goes_on[heads] = False
+    places = at.copy()
+    places[heads] = len(parts) + own
+    parts += [pieces[first] for first in firsts.tolist()]
+    if not goes_on.any():
+        return parts, places, starts
+    kept = np.flatnonzero(~goes_on)
+    ends = np.append(kept[1:], len(at))
+    first_ones = np.zeros(len(at), bool)
+    first_ones[heads] = True
+    inserted: dict[str, int] = {}
+    for which in np.flatnonzero(ends - kept > 1).tolist():
+        start, end = int(kept[which]), int(ends[which])
+        joined = " ".join([pieces[one] for one in at[start:end].tolist()])
+        part = joined if first_ones[start] else " " + joined
+        places[start] = inserted.setdefault(part, len(parts) + len(inserted))
+    return parts + list(inserted), places[kept], np.concatenate(([0], np.cumsum(~goes_on)))[starts]
+
+
+def joined_rows(values: pa.Array, places: np.ndarray, starts: np.ndarray) -> pa.Array:
+    """The binary ``values`` at ``places``, those of each row in one; ``starts`` says where rows begin and the last one ends."""
+    taken = values.take(pa.array(places))
+    offsets = np.frombuffer(taken.buffers()[1], np.int64)[taken.offset : taken.offset + len(taken) + 1]
+    own = pa.py_buffer(np.ascontiguousarray(offsets[starts]))
+    return pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [None, own, taken.buffers()[2] or pa.py_buffer(b"")])
 
 
 def frequent_words(spark: SparkSession, counts: DataFrame, most: int = TABLE_WORDS) -> DataFrame:
@@ -391,12 +436,12 @@ def encode(documents: DataFrame, vocabulary: Vocabulary, table_words: int = TABL
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(given.value, _as_table(shared.value))
         for batch in batches:
-            for first in range(0, batch.num_rows, 512):
-                part = batch.slice(first, 512)
-                ids = encoder.encode(part.column("text").to_pylist())
-                columns = {"doc_id": part.column("doc_id"), "ids": pa.array(ids, pa.binary())}
+            for first in range(0, batch.num_rows, 2048):
+                part = batch.slice(first, 2048)
+                ids = encoder.encode(part.column("text"))
+                columns = {"doc_id": part.column("doc_id"), "ids": ids.cast(pa.binary())}
                 if decoded:
-                    columns["body"] = pa.array([bytes_of(own, given.value) for own in ids], pa.binary())
+                    columns["body"] = decoded_rows(ids, given.value).cast(pa.binary())
                 yield pa.RecordBatch.from_pydict(columns)
 
     schema = f"doc_id {kind}, ids binary" + ", body binary" * decoded
@@ -410,21 +455,24 @@ class Encoder:
         self.vocabulary, self.cut, self.merged = vocabulary, splitter(vocabulary.pattern), merged
         self.memo: dict[str, bytes] = {}
 
-    def encode(self, texts: list[str | None]) -> list[bytes]:
+    def encode(self, texts: pa.Array) -> pa.Array:
         """The packed ids of each text."""
         memo = self.memo
         if len(memo) > MEMO_PARTS:
             memo.clear()
-        split = [parts_of(text) if text else [] for text in texts]
-        cuts = {piece: self.cut(piece) for piece in {piece for pieces in split for piece in pieces if piece not in memo}}
+        parts, places, starts = coded_parts(texts)
+        found = [memo.get(part) for part in parts]
+        cuts = {part: self.cut(part) for part, ids in zip(parts, found) if ids is None}
         known, rare = word_ids({word for words in cuts.values() for word in words}, self.vocabulary, self.merged)
         here: dict[str, bytes] = {}
-        for piece, words in cuts.items():
+        for part, words in cuts.items():
+            ids = known[words[0]] if len(words) == 1 else b"".join([known[word] for word in words])
+            here[part] = ids
             # Parts with a rare word are not likely to come again.
-            keep = memo if rare.isdisjoint(words) else here
-            keep[piece] = b"".join([known[word] for word in words])
-        get = memo.get
-        return [b"".join([get(piece) or here[piece] for piece in pieces]) for pieces in split]
+            if rare.isdisjoint(words):
+                memo[part] = ids
+        values = [here[part] if ids is None else ids for part, ids in zip(parts, found)]
+        return joined_rows(pa.array(values, pa.large_binary()), places, starts)
 
 
 @contextmanager
@@ -501,24 +549,30 @@ def decode(encoded: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(vocabulary)
     kind = dict(encoded.dtypes)["doc_id"]
 
-    def each(got: dict[str, list]) -> dict[str, list]:
-        return {"doc_id": got["doc_id"], "ids": got["ids"], "body": [bytes_of(ids, shared.value) for ids in got["ids"]]}
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for first in range(0, batch.num_rows, 2048):
+                part = batch.slice(first, 2048)
+                ids = part.column("ids")
+                body = decoded_rows(ids.cast(pa.large_binary()), shared.value).cast(pa.binary())
+                yield pa.RecordBatch.from_pydict({"doc_id": part.column("doc_id"), "ids": ids, "body": body})
 
-    return map_batches(encoded.select("doc_id", "ids"), f"doc_id {kind}, ids binary, body binary", each)
+    return map_arrow(encoded.select("doc_id", "ids"), run, f"doc_id {kind}, ids binary, body binary")
 
 
-def bytes_of(ids: bytes, vocabulary: Vocabulary) -> bytes:
-    """The pieces of packed ids, concatenated."""
-    numbers = array("I", ids)
-    if sys.byteorder != "little":
-        numbers.byteswap()
-    return b"".join(map(_pieces(vocabulary).__getitem__, numbers))
+def decoded_rows(ids: pa.Array, vocabulary: Vocabulary) -> pa.Array:
+    """The pieces of each row's packed ids, concatenated."""
+    rows = pc.fill_null(ids, b"")
+    ends = np.frombuffer(rows.buffers()[1], np.int64)[rows.offset : rows.offset + len(rows) + 1]
+    data = rows.buffers()[2]
+    numbers = np.frombuffer(data, "<u4", (ends[-1] - ends[0]) // 4, ends[0]) if ends[-1] > ends[0] else np.zeros(0, "<u4")
+    return joined_rows(_pieces(vocabulary), numbers.astype(np.int64), (ends - ends[0]) // 4)
 
 
 @lru_cache(maxsize=2)
-def _pieces(vocabulary: Vocabulary) -> list[bytes]:
+def _pieces(vocabulary: Vocabulary) -> pa.Array:
     table = vocabulary.table()
     out = [b""] * (max(table.values(), default=-1) + 1)
     for token, rank in table.items():
         out[rank] = token
-    return out
+    return pa.array(out, pa.large_binary())

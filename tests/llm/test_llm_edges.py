@@ -199,6 +199,21 @@ def test_byte_bpe(docs, none):
     assert byte_bpe.encode(none, ranks).count() == 0
 
 
+def test_parts_of_many_texts_at_once():
+    """The parts of a batch are those of each text by itself, wherever blanks stand, in a slice too."""
+    random = np.random.default_rng(5)
+    texts = [None, "", " ", "  ", "a", " a", "a ", "\n a", "a\n b", " \n", "a  b", "  a"]
+    texts += ["".join(random.choice([" ", " ", "a", "b", "\n", "\t", "\u3000", "é"], random.integers(0, 12))) for _ in range(3000)]
+    batch = pa.array(["x y", None, *texts], pa.string()).slice(2)
+    for first in range(0, len(texts), 31):
+        some = batch.slice(first, 31)
+        parts, places, starts = byte_bpe.coded_parts(some)
+        got = [[parts[at] for at in places[start:end] if parts[at]] for start, end in zip(starts, starts[1:])]
+        assert got == [vocab.parts_of(text or "") for text in some.to_pylist()]
+        rows = byte_bpe.joined_rows(pa.array([part.encode() for part in parts], pa.large_binary()), places, starts)
+        assert rows.to_pylist() == [(text or "").encode() for text in some.to_pylist()]
+
+
 def test_words_of_any_length():
     """Both ways to merge a word, against the library; a very long word takes no square of its length."""
     import time

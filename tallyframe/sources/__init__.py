@@ -1,6 +1,6 @@
 """Reading, writing and describing tables."""
 
-from tallyframe.sources.scratch import scratch_path, use_checkpoint_dir
+from tallyframe.sources.scratch import scratch_path, staged, use_checkpoint_dir
 from tallyframe.sources.tables import (
     preview,
     read_folds,
@@ -17,6 +17,7 @@ __all__ = [
     "read_table",
     "schema_rows",
     "scratch_path",
+    "staged",
     "table_sizes",
     "use_checkpoint_dir",
     "write_folds",

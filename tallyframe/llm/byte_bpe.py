@@ -261,7 +261,7 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
         if rank is not None:
             waiting.append((rank, at, at + 1, at + 2))
     heapq.heapify(waiting)
-    longest = _longest(id(ranks), ranks)
+    longest = _longest(ranks)
     while waiting:
         _, left, middle, end = heapq.heappop(waiting)
         if ends[left] != middle or ends[middle] != end:
@@ -283,14 +283,17 @@ def merge_long(word: bytes, ranks: dict[bytes, int]) -> list[int]:
     return out
 
 
-_lengths: dict[int, int] = {}
+_lengths: dict[int, tuple[dict[bytes, int], int]] = {}
 
 
-def _longest(key: int, ranks: dict[bytes, int]) -> int:
-    """The bytes of the longest token of a table."""
-    if key not in _lengths:
-        _lengths[key] = max(map(len, ranks), default=0)
-    return _lengths[key]
+def _longest(ranks: dict[bytes, int]) -> int:
+    """The bytes of the longest token of a table. Tables are kept, or another one could come to stand at the same place."""
+    kept = _lengths.get(id(ranks))
+    if kept is None:
+        if len(_lengths) >= 4:
+            _lengths.clear()
+        kept = _lengths[id(ranks)] = ranks, max(map(len, ranks), default=0)
+    return kept[1]
 
 
 def _with(value: Column, use) -> Column:
